@@ -74,8 +74,8 @@ _KEYED = r"""
 with k as (
   select id, regexp_replace(lower(coalesce(title, '')), '[^\p{L}\p{N}]+', '', 'g') as t,
     regexp_replace(lower(url_decode(split_part(coalesce(url, ''), '?', 1))), '[^\p{L}\p{N}]+', '', 'g') as u,
-    case when strpos(url, '?') > 0 then array_to_string(list_sort(list_filter(list_transform(string_split(substr(url, strpos(url, '?') + 1), '&'),
-      f -> regexp_replace(lower(url_decode(f)), '[^\p{L}\p{N}]+', '', 'g')), f -> f <> '')), '&') else '' end as q
+    case when strpos(url, '?') > 0 then array_to_string(list_sort([x for x in [regexp_replace(lower(url_decode(f)), '[^\p{L}\p{N}]+', '', 'g')
+      for f in string_split(substr(url, strpos(url, '?') + 1), '&')] if x <> '']), '&') else '' end as q
   from articles)
 """
 SQL = {
