@@ -11,6 +11,8 @@ ignored; an empty reference list gives -1 everywhere; clashing extra columns are
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,16 +112,16 @@ def match_values(values: DataFrame, catalog: DataFrame, threshold: float = THRES
     entries = catalog.select("ref_id", F.explode(tokens(F.col("name"))).alias("word")).distinct().withColumn("form", F.lit(0)).unionByName(
         catalog.where("exists(aliases, a -> a is not null)").select("ref_id", F.concat(F.lit("@"), F.col("ref_id").cast("string")).alias("word"), F.lit(1).alias("form"))
     )
-    size = entries.select("ref_id").distinct().agg(F.count("*").alias("n"))
-    idf = entries.where("form = 0").groupBy("word").agg(F.count("*").alias("df")).crossJoin(F.broadcast(size)).select(
-        "word", F.when(F.col("word").isin(JOINT_WORDS), 0.3).otherwise(F.log(1 + F.col("n") / F.col("df"))).alias("weight")
+    n = catalog.count()
+    idf = entries.where("form = 0").groupBy("word").agg(F.count("*").alias("df")).select(
+        "word", F.when(F.col("word").isin(JOINT_WORDS), 0.3).otherwise(F.log(1 + n / F.col("df"))).alias("weight")
     )
-    # one row, an aggregate
-    unknown = idf.agg(F.coalesce(F.max("weight"), F.lit(1.0)).alias("top"))
-    weighed = entries.join(idf, "word", "left").crossJoin(F.broadcast(unknown)).select("ref_id", "form", "word", F.coalesce("weight", "top").alias("weight"))
+    # a word that no entry has weighs as much as the rarest that one has
+    top = F.lit(math.log(1.0 + n))
+    weighed = entries.join(idf, "word", "left").select("ref_id", "form", "word", F.coalesce("weight", top).alias("weight"))
     norm = weighed.groupBy("ref_id", "form").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("entry_norm"))
     # a token with several corrections of equal cost counts once in the norm, by its heaviest
-    said = words.join(idf, "word", "left").crossJoin(F.broadcast(unknown)).select("value", "reading", "at", "word", "sim", F.coalesce("weight", F.when(F.col("word") == "?", 0.0).otherwise(F.col("top"))).alias("w"))
+    said = words.join(idf, "word", "left").select("value", "reading", "at", "word", "sim", F.coalesce("weight", top).alias("w"))
     value_norm = said.groupBy("value", "reading", "at", "word").agg(F.max("w").alias("w"), F.max("sim").alias("sim"))
     alternatives = fixes.groupBy("token").agg(F.count("*").alias("options"))
     options = typed.join(alternatives, "token", "left").select("value", "reading", "at", F.coalesce("options", F.lit(1)).alias("options"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import boilerplate, canonical, ledger, neardup, residue
+from corpusloom.llm import boilerplate, canonical, leakage, ledger, mojibake, neardup, packing, residue, survivor
 from corpusloom.session import broadcast_if_small, written
 from corpusloom.sources.tables import table
 
@@ -39,6 +39,14 @@ def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(found, "value", "left_semi").unionByName(rows.where("value is null")).groupBy("value").agg(F.count("*").alias("n"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.surviving_articles(table(spark, d, "articles"))
+
+
+def p4_records(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.surviving_records(table(spark, d, "articles"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue(table(spark, d, "articles"))
 
@@ -59,15 +67,43 @@ def p6_ledger(spark: SparkSession, d: str) -> DataFrame:
     return _ledger(table(spark, d, "articles"))[1].select("first_id", "copies")
 
 
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_texts(table(spark, d, "documents"), table(spark, d, "pack_limits"))
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    by = p8_containers(spark, d).groupBy("capacity", "container").agg(F.sum("tokens").alias("tokens"))
+    return by.groupBy("capacity").agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"), F.sum(F.col("capacity") - F.col("tokens")).alias("unused"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    return p9_found(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.restored(table(spark, d, "documents")).select("doc_id", "restored_md5")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_document_classes": p2_document_classes,
     "p3_found": p3_found,
     "p3_unmatched": p3_unmatched,
+    "p4_found": p4_found,
+    "p4_records": p4_records,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_ledger": p6_ledger,
+    "p8_containers": p8_containers,
+    "p8_fill": p8_fill,
+    "p9_found": p9_found,
+    "p9_items": p9_items,
+    "p10_found": p10_found,
 }
 
 _KEYED = r"""
