@@ -74,13 +74,13 @@ QUOTED = (
 )
 #: A page trail ("Labs > Printing > title"), which repeats the title.
 TRAIL = r"^\s*[^>»:/.]{1,24}\s(?:>|»|::|/)\s[^>»:/.]{1,24}\s(?:>|»|::|/)\s"
-#: Wording of site notices, which is no article text.
-NOTICE = (
-    r"(?i)cookie|stores small files on your device|speichert einstellungen|^some parts of this site need javascript|was this page helpful|did this solve your problem|"
-    r"^subscribe to updates|^copyright|^©|, phone [\d-]+$|last reviewed|must be signed in|^read also:|^contact the service desk"
-)
+# Parts of site notices, which are no article text, lower-cased.
+NOTICE_PARTS = [
+    "cookie", "stores small files on your device", "speichert einstellungen", "was this page helpful", "did this solve your problem", "last reviewed", "must be signed in",
+]
+NOTICE_STARTS = ["some parts of this site need javascript", "subscribe to updates", "copyright", "©", "read also:", "contact the service desk"]
 #: Wording of a message that is not listed.
-WEAK = r"(?i)\b(?:error|not found|denied|expired|unavailable|forbidden|timed? ?out|javascript|enable scripts|captcha|not a robot|bad request|try again later)\b"
+WEAK = r"\b(?:error|not found|denied|expired|unavailable|forbidden|timed? ?out|javascript|enable scripts|captcha|not a robot|bad request|try again later)\b"
 MARKER = r"^\s*\[(?:MINIMAL CONTENT|BROKEN ARTICLE):"
 #: A site's name, or a status number, behind a message in a title.
 SUFFIX = r"(?: ?\(\d+\)| [|–—-](?: \p{Lu}\S*){1,5})$"
@@ -103,7 +103,17 @@ def masked(c: Column) -> Column:
 def is_sentence(text: Column) -> Column:
     """Reads as a sentence, a step or a list item: five words or more and a closing mark, but no question (titles end in those)."""
     t = F.rtrim(text)
-    return F.right(t, F.lit(1)).isin(*".!:…") & (F.size(F.split(t, " ")) >= 5)
+    return F.right(t, F.lit(1)).isin(*".!:…") & (F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) >= 4)
+
+
+def is_notice(m: Column) -> Column:
+    """A masked text that is a site's notice."""
+    c = F.lit(False)
+    for part in NOTICE_PARTS:
+        c = c | m.contains(part)
+    for start in NOTICE_STARTS:
+        c = c | m.startswith(start)
+    return c
 
 
 def has_placeholder(c: Column) -> Column:
@@ -112,21 +122,21 @@ def has_placeholder(c: Column) -> Column:
 
 def is_latin(m: Column) -> Column:
     """Begins with pseudo-Latin filler, and at least half of its words, and two, are such."""
-    first = F.regexp_replace(F.substring_index(m, " ", 1), r"[^\p{L}]+", "")
     words = F.filter(F.split(m, r"[^\p{L}]+"), lambda w: w != "")
     latin = F.size(F.filter(words, lambda w: w.isin(LATIN)))
-    return first.isin(LATIN) & (latin >= 2) & (latin * 2 >= F.size(words))
+    return F.substring_index(m, " ", 1).isin(LATIN) & (latin >= 2) & (latin * 2 >= F.size(words))
 
 
 def unit_class(text: Column, m: Column) -> Column:
-    """placeholder, filler, marker, message, weak or null, by the rules alone."""
+    """placeholder, filler, marker, message, explanation, weak or null, by the rules alone; the cheap tests go first."""
+    short = F.length(m) <= 90
     return (
-        F.when(text.rlike(MARKER), "marker")
+        F.when(text.contains("[") & text.rlike(MARKER), "marker")
         .when(text.rlike(r"[{}%$@<\[_]|&lt;|XX_") & ~text.rlike(TRAIL) & has_placeholder(squeezed(text)), "placeholder")
-        .when(m.isin(FILLERS) | is_latin(m), "filler")
-        .when(m.isin(MESSAGES), "message")
-        .when(m.isin([*EXPLANATIONS, "code 0"]), "explanation")
-        .when((F.length(m) <= 90) & m.rlike(WEAK) & ~text.rlike(NOTICE), "weak")
+        .when((short & m.isin(FILLERS)) | is_latin(m), "filler")
+        .when(short & m.isin(MESSAGES), "message")
+        .when(short & m.isin([*EXPLANATIONS, "code 0"]), "explanation")
+        .when(short & m.rlike(WEAK) & ~is_notice(m), "weak")
     )
 
 
@@ -141,7 +151,7 @@ def _judged(units: DataFrame) -> DataFrame:
     m = masked(F.col("text"))
     units = units.select("id", "field", "source", "text", m.alias("m"))
     units = units.select("id", "field", "source", "text", "m", unit_class(F.col("text"), F.col("m")).alias("class"))
-    plain = F.col("class").isNull() & (F.col("field") == "content") & is_sentence(F.col("text")) & ~F.col("text").rlike(NOTICE) & ~F.col("text").rlike(TRAIL)
+    plain = F.col("class").isNull() & (F.col("field") == "content") & is_sentence(F.col("text")) & ~is_notice(F.col("m")) & ~F.col("text").rlike(TRAIL)
     units = units.select("id", "field", "source", "class", plain.cast("int").alias("plain"), F.when(F.col("class") == "weak", F.xxhash64("m")).alias("h"))
     has = lambda *c: F.max(F.when(F.col("class").isin(*c), 1).otherwise(0))
     # no filter on class here: it would be pushed below and have the rules run twice
