@@ -151,8 +151,9 @@ def _judged(units: DataFrame) -> DataFrame:
     m = masked(F.col("text"))
     units = units.select("id", "field", "source", "text", m.alias("m"))
     units = units.select("id", "field", "source", "text", "m", unit_class(F.col("text"), F.col("m")).alias("class"))
-    plain = F.col("class").isNull() & (F.col("field") == "content") & is_sentence(F.col("text")) & ~is_notice(F.col("m")) & ~F.col("text").rlike(TRAIL)
-    units = units.select("id", "field", "source", "class", plain.cast("int").alias("plain"), F.when(F.col("class") == "weak", F.xxhash64("m")).alias("h"))
+    reads = (F.col("class").isNull() | (F.col("class") == "weak")) & (F.col("field") == "content") & is_sentence(F.col("text")) & ~is_notice(F.col("m")) & ~F.col("text").rlike(TRAIL)
+    weak = F.when(F.col("class") == "weak", F.struct(F.xxhash64("m").alias("h"), reads.cast("int").alias("plain")))
+    units = units.select("id", "field", "source", "class", reads.cast("int").alias("plain"), weak.alias("h"))
     has = lambda *c: F.max(F.when(F.col("class").isin(*c), 1).otherwise(0))
     # no filter on class here: it would be pushed below and have the rules run twice
     by = units.groupBy("id", "field").agg(
@@ -169,10 +170,10 @@ def residue(articles: DataFrame) -> DataFrame:
     titles = a.where("title is not null and trim(title) <> '' and title <> 'Pending'").select("id", F.lit("title").alias("field"), "source", stripped.alias("text"))
     lines = a.where("content is not null and content <> ''").select("id", F.lit("content").alias("field"), "source", F.explode(F.split("content", "\n")).alias("text"))
     judged = written(_judged(titles).unionByName(_judged(lines)), "judged")
-    weak = judged.select("id", "field", "source", F.explode("weak").alias("h"))
-    # weak lines that recur are messages; the others are article text, or a title of its own
-    listed = weak.join(recurring(weak), "h", "left_semi").groupBy("id", "field").agg(F.count("*").alias("recurs"))
+    weak = judged.select("id", "field", "source", F.explode("weak").alias("w")).select("id", "field", "source", "w.h", "w.plain")
+    # weak lines that recur are messages and no article text, even if they read so
+    listed = weak.join(recurring(weak), "h", "left_semi").groupBy("id", "field").agg(F.sum("plain").alias("recurs"))
     full = judged.join(listed, ["id", "field"], "left").select(
-        "id", "field", "strong", ((F.col("message") == 1) | F.col("recurs").isNotNull()).alias("message"), (F.col("plain") + F.size("weak") - F.coalesce("recurs", F.lit(0))).alias("plain")
+        "id", "field", "strong", ((F.col("message") == 1) | F.col("recurs").isNotNull()).alias("message"), (F.col("plain") - F.coalesce("recurs", F.lit(0))).alias("plain")
     )
     return full.where("strong = 1 or (message and (field = 'title' or plain = 0))").select("id", "field")
