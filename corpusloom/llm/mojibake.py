@@ -33,9 +33,9 @@ PRIOR = 4.0
 LOST = "�"
 
 # Encodings that UTF-8 was read as. "cp1252" lets the control signs of Latin-1 through when it is inverted.
-WRONG = ("cp1252", "latin1", "iso8859_2", "cp1251", "mac_roman", "cp437")
+WRONG = ("cp1252", "latin1", "iso8859_15", "iso8859_2", "cp1251", "mac_roman", "cp437")
 # Fixed values: (written in, read as) for one-byte encodings of Cyrillic.
-ONE_BYTE = (("cp1251", "latin1"), ("koi8_r", "cp1251"), ("cp1251", "koi8_r"))
+ONE_BYTE = (("cp1251", "cp1252"), ("koi8_r", "cp1251"), ("cp1251", "koi8_r"))
 #: A chain lists the steps in the order in which the text was garbled.
 CHAINS: tuple[tuple[tuple[str, str], ...], ...] = tuple(
     [(("utf_8", a),) for a in WRONG]
@@ -47,6 +47,8 @@ _SENTENCES = re.compile(r"((?<=[.!?:…]) |\n)")
 _RUNS = re.compile(r"[^\x00-\x7f]+")
 _CYRILLIC = re.compile(r"[Ѐ-ӿ]")
 _PAIR = re.compile(r"[^\x00-\x7f]{2}")  # every garbled sign is two or more
+_QUOTING = re.compile(r"(?i)\b(?:search for|the sign|shows up|encoding|damaged)\b")
+_DENSE = re.compile(r"[A-Za-z][^\x00-\x7f]{2}|[^\x00-\x7f]{2}[A-Za-z]")  # letters beside garbled signs
 _THICK = re.compile(r"[À-ÿ¸¨]{3}")
 
 
@@ -127,7 +129,7 @@ def suspects(s: str) -> list[int]:
         if last[0] == "utf_8":
             if last[1] in first and (len(chain) == 1 or invert(first[last[1]], chain[:-1]) is not None):
                 out.append(n)
-        elif last == ("cp1251", "latin1"):
+        elif last == ("cp1251", "cp1252"):
             if _THICK.search(s) and invert(s, chain) is not None:
                 out.append(n)
         elif _CYRILLIC.search(s):
@@ -160,44 +162,79 @@ def train(texts: list[str]) -> np.ndarray:
 
 
 def _alone(s: str, chain: tuple[tuple[str, str], ...]) -> bool:
-    """True if a single run of signs is garbled and no letter or digit touches it."""
-    runs = [m for m in _RUNS.finditer(s) if invert(m.group(), chain) is not None]
-    if len(runs) != 1:
+    """True if all that is garbled is a single sign or two that no letter or digit touches."""
+    runs = [(m, t) for m in _RUNS.finditer(s) if (t := invert(m.group(), chain)) is not None]
+    if len(runs) != 1 or len(runs[0][1]) > 2:
         return False
-    a, b = runs[0].span()
+    a, b = runs[0][0].span()
     return not (s[a - 1 : a].isalnum() or s[b : b + 1].isalnum())
 
 
-def predict(s: str, logp: np.ndarray) -> int | None:
-    """Number of the chain that garbled the sentence, or None if it is right."""
+def scores(s: str, logp: np.ndarray) -> dict[int, float]:
+    """For each chain under which the sentence is likelier than as right text: its log likelihood, with that of the result as right text."""
     if not _PAIR.search(s) or not (maybe := suspects(s)):
+        return {}
+    seen = logp[:, bigrams(s)].sum(axis=1)
+    return {n: float(seen[n] + logp[-1, bigrams(invert(s, CHAINS[n]))].sum()) for n in maybe if seen[n] > seen[-1] + PRIOR}
+
+
+def _deeper(s: str, logp: np.ndarray) -> str:
+    """What is left of a longer chain is inverted too."""
+    for _ in range(3):
+        more = scores(s, logp)
+        if not more or _alone(s, CHAINS[n := max(more, key=more.get)]):
+            break
+        s = invert(s, CHAINS[n])
+    return s
+
+
+def _mixed(s: str, logp: np.ndarray) -> str | None:
+    """A sentence that runs into a garbled one, restored word by word; None if no word of letters is garbled."""
+    words = s.split(" ")
+    found = {i: v for i, w in enumerate(words) if not w.isascii() and (v := scores(f" {w} ", logp))}
+    sure = [i for i, v in found.items() if not _alone(words[i], CHAINS[max(v, key=v.get)])]
+    if not sure:
         return None
-    score = logp[:, bigrams(s)].sum(axis=1)
-    best = max(maybe, key=lambda n: score[n])
-    return best if score[best] > score[-1] + PRIOR else None
+    main = max({n for i in sure for n in found[i]}, key=lambda n: sum(max(found[i].get(n, -1e9) - max(found[i].values()), -40.0) for i in sure))
+    for i, w in enumerate(words):
+        if not w.isascii() and (t := invert(w, CHAINS[main])) is not None:
+            words[i] = t
+    return " ".join(words)
 
 
 def restore(text: str, logp: np.ndarray) -> str | None:
-    """The restored text, LOST if letters are destroyed, or None if nothing is garbled."""
+    """The restored text, LOST if letters are destroyed, or None if nothing is garbled.
+
+    The sentences that are surely garbled agree on the chain that is likeliest for all of them; it is inverted wherever it
+    is strictly decodable. A sign that stands alone is restored only if the whole text is garbled and doesn't quote it.
+    """
     if LOST in text:
         return LOST
     parts = _SENTENCES.split(text)
-    found: list[tuple[int, int, bool]] = []
-    for k, s in enumerate(parts):
-        if s and not s.isascii() and (n := predict(s, logp)) is not None:
-            found.append((k, n, _alone(s, CHAINS[n])))
-    sure = {n for _, n, alone in found if not alone}
-    if not sure:
+    wide = [k for k, s in enumerate(parts) if s and not s.isascii()]
+    likely = {k: scores(parts[k], logp) for k in wide}
+    best = {k: max(v, key=v.get) for k, v in likely.items() if v}
+    alone = {k: _alone(parts[k], CHAINS[n]) for k, n in best.items()}
+    sure = [k for k in best if not alone[k]]
+    mixed = {k: t for k in wide if k not in best and _DENSE.search(parts[k]) and (t := _mixed(parts[k], logp)) is not None}
+    if not sure and not mixed:
         return None
-    for k, n, alone in found:
-        if not alone or n in sure:
-            s: str = invert(parts[k], CHAINS[n])
-            for _ in range(3):  # what is left of a longer chain
-                more = predict(s, logp)
-                if more is None or _alone(s, CHAINS[more]):
-                    break
-                s = invert(s, CHAINS[more])
-            parts[k] = s
+    if sure:
+        chains = {n for k in sure for n in likely[k]}
+        main = max(chains, key=lambda n: sum(max(likely[k].get(n, -1e9) - likely[k][best[k]], -40.0) for k in sure))
+        inverse = {k: invert(parts[k], CHAINS[main]) for k in wide}
+        whole = all(t is not None for t in inverse.values())
+        one_byte = CHAINS[main][-1][0] != "utf_8"
+    for k in wide:
+        s = inverse[k] if sure else None
+        if s is None:
+            s = invert(parts[k], CHAINS[best[k]]) if k in best and not alone[k] else mixed.get(k)
+        elif k not in best and one_byte and not whole:
+            s = None
+        elif (alone[k] if k in best else _alone(parts[k], CHAINS[main])) and not (whole and not _QUOTING.search(parts[k])):
+            s = None
+        if s is not None:
+            parts[k] = _deeper(s, logp)
     return "".join(parts)
 
 
