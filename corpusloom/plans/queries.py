@@ -442,7 +442,6 @@ def topic_adjacency(t):
 
 
 def _cos(d: str) -> str:
-    get = lambda side: f"coalesce(element_at({side}.{d}_distribution, k)[1], 0)"
     norm = lambda side: f"sqrt(list_sum([cast(v as double) * v for v in map_values({side}.{d}_distribution)]))"
     return f"coalesce(list_sum([cast(coalesce(a.{d}_distribution[k], 0) as double) * coalesce(b.{d}_distribution[k], 0) for k in map_keys(a.{d}_distribution)]) / nullif({norm('a')} * {norm('b')}, 0), 0)"
 
