@@ -224,6 +224,25 @@ def profile_similarity(pairs: DataFrame, topics: DataFrame) -> DataFrame:
     return both.select("source_id", "target_id", score.alias("similarity"))
 
 
+def related_by_profile(topics: DataFrame, edges: DataFrame, least: float = 0.7) -> DataFrame:
+    """(source_id, target_id, similarity), lower id first: all topic pairs of at least so similar profiles that no edge relates yet.
+
+    Equal profiles are compared once; profiles meet by a product of partitions, and topics only where their profiles are similar.
+    """
+    maps = [f"{d}_distribution" for d in DIMENSIONS]
+    keyed = topics.select("id", *maps, F.struct(*[F.array_sort(F.map_entries(m)).alias(m) for m in maps]).alias("key"))
+    profiles = written(keyed.groupBy("key").agg(F.min("id").alias("profile")), "profiles")
+    member = written(keyed.join(profiles, keyed.key.eqNullSafe(profiles.key)).select("profile", keyed.id.alias("topic"), *maps), "members")
+    one = member.where("profile = topic").select(F.col("profile").alias("id"), *maps)
+    pairs = one.select(F.col("id").alias("source_id")).crossJoin(one.select(F.col("id").alias("target_id"))).where("source_id <= target_id")
+    similar = written(profile_similarity(pairs, one).where(F.round("similarity", 9) >= least), "similar")
+    x, y = member.select(F.col("profile").alias("source_id"), F.col("topic").alias("x")), member.select(F.col("profile").alias("target_id"), F.col("topic").alias("y"))
+    met = similar.join(x, "source_id").join(y, "target_id").where("source_id < target_id or x < y")
+    met = met.select(F.least("x", "y").alias("source_id"), F.greatest("x", "y").alias("target_id"), "similarity")
+    known = edges.select(F.least("source_id", "target_id").alias("source_id"), F.greatest("source_id", "target_id").alias("target_id")).distinct()
+    return met.join(known, ["source_id", "target_id"], "left_anti")
+
+
 def suggest_merges(topics: DataFrame, least: int = 3) -> DataFrame:
     """(topic_id, target_id, score): for topics of fewer than `least` articles, the best larger topic that shares a word.
 

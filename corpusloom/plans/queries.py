@@ -454,6 +454,14 @@ def profile_similarity(t):
     return T.profile_similarity(pairs, t.topics).select("source_id", "target_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query(
+    f"with {Q.EDGES}, p as (select a.id as source_id, b.id as target_id, 0.5 * {_cos('audience')} + 0.3 * {_cos('intent')} + 0.2 * {_cos('complexity')} as similarity from topics a join topics b on a.id < b.id) "
+    "select source_id, target_id, round(similarity, 6) as similarity from p anti join (select least(s, t) as source_id, greatest(s, t) as target_id from ed) using (source_id, target_id) where round(similarity, 9) >= 0.7"
+)
+def related_by_profile(t):
+    return T.related_by_profile(t.topics, T.known_edges(t.topic_relationships, t.topics)).withColumn("similarity", F.round("similarity", 6))
+
+
 @query(
     f"with {Q.WORDS}, p as (select l.id as topic_id, h.id as target_id, case when contains(l.name, h.name) or contains(h.name, l.name) then 10 when len(list_intersect(l.words, h.words)) * 1.0 / len(l.words) >= 0.6 then 5 else 2 end as score "
     "from tw l, tw h where l.total_articles < 3 and h.total_articles >= 3 and len(list_intersect(l.words, h.words)) > 0) select topic_id, target_id, score from (select *, row_number() over (partition by topic_id order by score desc, target_id) as r from p) where r = 1"

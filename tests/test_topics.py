@@ -47,3 +47,14 @@ def test_subsets_and_cosine(spark):
     assert {(r.source_id, r.target_id) for r in T.subtopic_edges(t).collect()} == {(1, 2), (1, 3), (2, 3)}
     maps = spark.createDataFrame([({"a": 1, "b": 1}, {"a": 1}), ({}, {"a": 1}), (None, {"a": 2})], "x map<string,bigint>, y map<string,bigint>")
     assert [round(r.c, 4) for r in maps.select(T.cosine(F.col("x"), F.col("y")).alias("c")).collect()] == [0.7071, 0.0, 0.0]
+
+
+def test_profiles_are_searched_among_all_pairs(spark):
+    from corpusloom.operators import topics as T
+
+    m = "map<string,bigint>"
+    rows = [(1, {"a": 1}, {"x": 2}, {"s": 1}), (2, {"a": 3}, {"x": 1}, {"s": 2}), (3, {"a": 1}, {"x": 2}, {"s": 1}), (4, {"b": 1}, {"x": 2}, {"s": 1}), (5, None, {}, None), (6, {"a": 1}, {"y": 1}, {"s": 9})]
+    topics = spark.createDataFrame(rows, f"id int, audience_distribution {m}, intent_distribution {m}, complexity_distribution {m}")
+    edges = spark.createDataFrame([(3, 2)], "source_id int, target_id int")
+    got = {(r.source_id, r.target_id): round(r.similarity, 6) for r in T.related_by_profile(topics, edges).collect()}
+    assert got == {(1, 2): 1.0, (1, 3): 1.0, (1, 6): 0.7, (2, 6): 0.7, (3, 6): 0.7}
