@@ -17,30 +17,47 @@ _own_folder: dict[str, str] = {}
 _shipped: set[str] = set()
 
 
+def is_local(master: str) -> bool:
+    """True where driver and executors are one process, so that a folder of this machine is a shared one."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where the session names none (tests on one machine)."""
+    """The folder in spark.checkpoint.dir. Where the session names none, a temporary one in local mode, an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not is_local(spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-        spark.sparkContext.setCheckpointDir(_own_folder[app])
     return _own_folder[app]
 
 
+def _written_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/corpusloom/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a parquet table in the shared folder: cuts the lineage and survives the loss of an executor."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
+    path = f"{_written_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_written(spark: SparkSession) -> None:
+    """Delete the tables that this application has written; frames made from them can't be read any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_written_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's source to the executors of a cluster, once per application, for functions that run in Python workers."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or sc.applicationId in _shipped:
+    if is_local(sc.master) or sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom_src.zip")
@@ -54,6 +71,7 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it has at most `rows` narrow rows, counted by Spark; unchanged beyond."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, name: str = "side") -> DataFrame:
+    """`df`, written once, with a broadcast hint if it has at most `rows` narrow rows; without one beyond."""
+    side = written(df, name)
+    return F.broadcast(side) if side.count() <= rows else side
