@@ -1,10 +1,20 @@
 """Problem 5: template residue, filler and error-page text in titles and contents.
 
-Units are titles and content lines. Numbers, addresses and dates in a unit are masked; units that a phrase or
-placeholder rule touches are grouped by the exact hash of their masked text across sources (hosts), and each group is
-classified once: a listed message by itself, an unlisted one with the wording of a message only if it recurs over many
-sources. A content is a case if it has a placeholder or filler line outside quotations and page trails, a crawler
-marker, or a message while no line of it reads as article text.
+Units are titles and content lines. Numbers, addresses and dates in a unit are masked, and units are grouped by the
+exact hash of their masked text across sources (hosts). Each group that recurs is classified once, by what its pages
+have besides it and by phrase rules. A page is bare if all of its sentences recur over many sources. A group is
+
+* filler, if it reads wholly as such and most of its pages are bare;
+* furniture, if less than BARE of its pages are bare (cookie notices stand on pages with an article);
+* a message, if nearly all of them are and a phrase rule speaks for it, or if it stands under many titles, on very many
+  sources, on pages of two or three sentences: then no wording is needed;
+* an explanation, if nearly all of its pages are bare and it stands under many titles;
+* else a copy: text of an article that is republished.
+
+A content is a case if it holds filler, or if it holds a message and each of its sentences is a message, an explanation or furniture.
+A title is one if its group is a message or filler in contents, or recurs and a phrase rule speaks for it. No wording counts by
+itself: without recurrence there is no message. Placeholders, pseudo-Latin and crawler markers need none; rules find
+them in the unit, outside quotations and page trails.
 
 Defined cases: null, empty and `Pending` are never cases; an empty table gives no rows; the source of a null url is
 empty; repeated rows are judged alike; extra columns are ignored; texts are read whole, whatever their length.
@@ -17,70 +27,61 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import written
-
-# Messages that stand in place of a title or an article, lower-cased, digits as 0.
-MESSAGES = [
-    "0", "error 0", "http status 0", "0 not found", "0 internal server error", "0 service temporarily unavailable", "page not found",
-    "access denied", "bad gateway", "proxy error", "gateway timeout", "server error", "unauthorized", "too many requests", "forbidden",
-    "session expired", "your session has expired", "just a moment", "something went wrong", "we can't find that page", "we can’t find that page",
-    "this record does not exist", "article no longer available", "error inesperado", "seite nicht gefunden", "page introuvable",
-    "oops! this link is broken", "site under maintenance", "database connection failed", "undefined", "[object object]", "loading...",
-    "please enable javascript to view this page.", "you need to enable scripts in your browser to go on.", "javascript is required to run this app.",
-    "your browser does not support scripting or it is switched off.", "turn on javascript and cookies to continue",
-    "this application loads its text with scripts. turn them on and reload.", "veuillez activer les scripts de votre navigateur.",
-    "bitte aktivieren sie javascript, um diese seite zu sehen.", "checking your browser before access is given...",
-    "verify that you are human by ticking the box below.",
-]
-# Sentences that come with such messages.
-EXPLANATIONS = [
-    "the server met a condition that it could not handle.", "the upstream host gave no valid answer.", "it may have been moved, renamed or removed.",
-    "please try again in a few minutes.", "go back to the start page or use the search box.", "we are working to bring the service back.",
-    "an exception was raised while rendering the view.", "your address has sent more calls than allowed.", "log in again to go on.",
-    "if the fault remains, tell the operator.", "the address you asked for is not on this server.", "you do not have the right to read this record.",
-    "die angeforderte adresse ist nicht vorhanden.", "la page demandée n'existe plus.", "no se pudo cargar el contenido.",
-]
-# Fill-in titles and lines.
-FILLERS = [
-    "insert title", "enter article name", "title goes here", "untitled page", "new page", "test test", "untitled",
-    "heading one goes here", "text goes here.", "tbd tbd tbd", "content coming soon", "blah blah blah", "asdf asdf asdf jkl", "lorem ipsum",
-    "placeholder copy, to be replaced by the author.", "add your introduction in this place.", "xxxxx xxxxx xxx xxxxxx",
-    "sample paragraph. sample paragraph. sample paragraph.", "write two or three sentences about the service here.",
-]
+from corpusloom.session import broadcast_if_small, written
+
+#: A group recurs on so many sources; one that reads wholly as a message on SURE; one without such wording on PLAIN.
+RECURS, SURE, PLAIN = 5, 2, 10
+#: Share of bare pages from which a group stands in place of the article.
+BARE = 0.8
+#: Sentences of a page on which a group without wording is a message, at most, on the average.
+SHORT_PAGE = 3
+
+# Parts of words that the phrase rules look for; a unit without any of them has no wording.
+STEMS = (
+    "error fehler erreur status code denied gateway proxy timeout timed forbidden unauthor expired requests found gefunden introuvable encontrad exist went unavailable "
+    "available verfügbar maintenance failed broken undefined null object loading moment script support human robot captcha browser request incident reference "
+    "insert enter goes here untitled new test lorem placeholder text tbd coming xxx blah asdf sample paragraph write introduction can't can’t 0"
+).split()
+#: Wording of a whole unit that is filler.
+FILLER = (
+    r"^(?:(?:insert|enter|add|your) (?:\w+ )?(?:title|name|text)|(?:\w+ ){1,3}goes here\.?|untitled(?: \w+)?|new page|test test|(?:tbd\W*){2,}|(?:x{3,}\W*)+|content coming soon|lorem ipsum"
+    r"|placeholder (?:copy|text)\b.*|(?:write|add|put|insert|enter) .{2,40}\b(?:here|in this place)\.?|((?:\w+ ){0,2}\w+)(?:[. ]+\1)+(?: \w+)?\.?)$"
+)
+#: Wording of a whole unit that is a message.
+SURELY = (
+    r"^(?:(?:http )?(?:error|status|fehler|erreur)?:? ?0|(?:(?:http )?(?:error |status )?0 )?(?:not found|internal server error|service (?:temporarily )?unavailable|forbidden|bad request|bad gateway|gateway time-?out|unauthorized)"
+    r"|(?:page|seite|file|site|record|document|article)s? (?:was )?(?:not found|nicht gefunden|introuvable|no encontrad[ao])|(?:this |the |that )?(?:page|record|article|document|file)? ?(?:does not exist|no longer (?:available|exists))\.?"
+    r"|(?:access|permission) denied|zugriff verweigert|accès refusé|acceso denegado|(?:proxy|server|database|connection|internal|unexpected|unknown) (?:error|connection failed|connection error)|error (?:inesperado|interno)"
+    r"|too many requests|(?:your |the )?session (?:has )?expired|just a moment\W*|something went wrong\W*|we (?:can't|can’t|cannot|could not) find (?:that|this|the) page|(?:oops\W* )?this link is broken"
+    r"|(?:the |this )?(?:site|server|service) (?:is )?(?:under|down for) maintenance|undefined|null|nan|\[object object\]|loading\W*"
+    r"|(?:please |you (?:need|have) to )?(?:enable|turn on|activate|allow) (?:java)?script(?:s|ing)?\b(?: [\w,]+){0,8}\.?|your browser (?:does not|doesn't|can't|cannot) (?:support|run) (?:java)?script(?:s|ing)?\b(?: [\w,]+){0,8}\.?|(?:java)?scripts? (?:is|are) (?:required|needed|disabled|switched off)\b(?: [\w,]+){0,6}\.?)$"
+)
+#: Wording that speaks for a message or filler in a unit.
+MAYBE = (
+    r"\b(?:error|fehler|erreur|denied|expired|unavailable|forbidden|unauthorized|time[ds]? ?out|not found|nicht gefunden|introuvable|captcha|not a robot|bad request|try again|(?:un|not )?available|maintenance|went wrong)\b"
+    r"|(?:enable|turn|activ|aktiv|requir|need|support|switch|loads|erlaub)\w*\b.{0,60}\b(?:java)?scripts?\b|(?:java)?scripts?\b.{0,60}\b(?:enable|turn|activ|aktiv|requir|need|support|switch|loads)\w*"
+    r"|\b(?:verify|prove|confirm|checking)\b.{0,30}\b(?:human|browser|robot)\b|^(?:request|reference:?|incident id|code) 0$"
+)
 # Words of pseudo-Latin filler.
 LATIN = (
     "lorem ipsum dolor sit amet dorem valum sedo sitra irura labor tador enima ullam tempra nostru sunto proiden pariat offic cupid culpa incid conseq "
     "mollit ametis animo commo minis quisto fugia occae exerci aliqua velita elis eius nisi except duisa sintor venar auter repreh deser magnu nulla"
 ).split()
-# Names of template fields, for the forms of placeholder that also occur as plain marks.
-FIELDS = (
-    "title article_title summary product version date link contact deadline owner department campus team_name support_phone servicename page.body body_text "
-    "first_name last_name name"
-).split()
-#: An unlisted message must come from so many sources, and as many records, to count.
-RECURS = 5
 
-_ID = r"[A-Za-z][\w.]*"
-_NAMED = "(?:" + "|".join(f.replace(".", r"\.") for f in FIELDS) + ")"
-#: A placeholder: `{{x}} ${x} {% x %} {$x} %%x%% [[x]] [Insert x here] <%= x %> <<x>> #{x} @@x@@ &lt;x&gt; __x__ $x$ XX_x_XX`.
+_ID = r"[A-Za-z][\w.-]*(?: [\w.-]+){0,2}"
+#: A placeholder: `{{x}} ${x} {% x %} {$x} %%x%% [[x]] [Insert x here] [YOUR x] <%= x %> <<x>> #{x} @@x@@ &lt;x&gt; {0} __x__ $x$ XX_x_XX`.
 PLACEHOLDER = (
-    rf"(?i)(?:\{{\{{\s*{_ID}\s*\}}\}}|[$#]\{{\s*{_ID}\s*\}}|\{{%\s*{_ID}\s*%\}}|\{{\$\s*{_ID}\s*\}}|%%{_ID}%%|\[\[\s*{_ID}\s*\]\]|\[insert\s+{_ID}\s+here\]"
-    rf"|<%=\s*{_ID}\s*%>|<<\s*{_ID}\s*>>|@@{_ID}@@|&lt;\s*{_ID}\s*&gt;|(?<![\w.])__{_NAMED}__(?!\w)|\${_NAMED}\$|XX_{_NAMED}_XX)"
+    rf"(?i)(?:\{{\{{\s*{_ID}\s*\}}\}}|[$#]\{{\s*{_ID}\s*\}}|\{{%\s*{_ID}\s*%\}}|\{{\$\s*{_ID}\s*\}}|%%{_ID}%%|\[\[\s*{_ID}\s*\]\]|\[insert\s+{_ID}\s+here\]|(?-i:\[(?:YOUR|ENTER|INSERT|ADD)(?:[ _][A-Z]+)+\])"
+    rf"|<%=\s*{_ID}\s*%>|<<\s*{_ID}\s*>>|@@{_ID}@@|&lt;\s*{_ID}\s*&gt;|(?<![\w$}}])\{{\d{{1,2}}\}}(?!\}})"
+    r"|(?<![\w.])__(?!(?:init|main|name|file|all|doc|dict|class|str|repr|call)__|(?-i:[A-Z][a-z]+__))[A-Za-z][\w.]*[A-Za-z]__(?![\w(]|\.\w)|(?<![\w$])\$[A-Za-z][\w.]{2,}\$|XX_[A-Za-z][\w.]*_XX)"
 )
 #: What is cut before looking for one: a tag or variable that the text explains, environment variables and command templates.
 QUOTED = (
-    rf"(?i)(?:\b(?:tags?|tag\s+such\s+as|tags\s+such\s+as|such\s+as|placeholders?|variables?|marks?|fields?\s+like)\s+(?:\{{\{{\s*{_ID}\s*\}}\}}|[$#]\{{\s*{_ID}\s*\}}|\{{%[^%]*%\}}|%%{_ID}%%|\[\[\s*{_ID}\s*\]\])"
+    rf"(?i)(?:\b(?:tags?|tag\s+such\s+as|tags\s+such\s+as|such\s+as|placeholders?|patterns?|variables?|marks?|fields?\s+like)\s+(?:\[[^\]]*\]|\{{\{{\s*{_ID}\s*\}}\}}|[$#]\{{\s*{_ID}\s*\}}|\{{%[^%]*%\}}|%%{_ID}%%|\[\[\s*{_ID}\s*\]\])"
     rf"|\$?\$\{{\{{?(?:HOME|PATH|USER|SHELL|TMPDIR|LANG|PWD)\}}\}}?|\{{?\{{%\s*\w+\s+\w[^%]*%\}}\}}?)"
 )
 #: A page trail ("Labs > Printing > title"), which repeats the title.
 TRAIL = r"^\s*[^>»:/.]{1,24}\s(?:>|»|::|/)\s[^>»:/.]{1,24}\s(?:>|»|::|/)\s"
-# Parts of site notices, which are no article text, lower-cased.
-NOTICE_PARTS = [
-    "cookie", "stores small files on your device", "speichert einstellungen", "was this page helpful", "did this solve your problem", "last reviewed", "must be signed in",
-]
-NOTICE_STARTS = ["some parts of this site need javascript", "subscribe to updates", "copyright", "©", "read also:", "contact the service desk"]
-#: Wording of a message that is not listed.
-WEAK = r"\b(?:error|not found|denied|expired|unavailable|forbidden|timed? ?out|javascript|enable scripts|captcha|not a robot|bad request|try again later)\b"
 MARKER = r"^\s*\[(?:MINIMAL CONTENT|BROKEN ARTICLE):"
 #: A site's name, or a status number, behind a message in a title.
 SUFFIX = r"(?: ?\(\d+\)| [|–—-](?: \p{Lu}\S*){1,5})$"
@@ -88,7 +89,7 @@ SUFFIX = r"(?: ?\(\d+\)| [|–—-](?: \p{Lu}\S*){1,5})$"
 
 def squeezed(c: Column) -> Column:
     """White space of any kind as single blanks, none outside."""
-    return F.trim(F.regexp_replace(c, r"[\s ]+", " "))
+    return F.trim(F.regexp_replace(c, r"[\s\x{a0}]+", " "))
 
 
 def masked(c: Column) -> Column:
@@ -106,16 +107,6 @@ def is_sentence(text: Column) -> Column:
     return F.right(t, F.lit(1)).isin(*".!:…") & (F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) >= 4)
 
 
-def is_notice(m: Column) -> Column:
-    """A masked text that is a site's notice."""
-    c = F.lit(False)
-    for part in NOTICE_PARTS:
-        c = c | m.contains(part)
-    for start in NOTICE_STARTS:
-        c = c | m.startswith(start)
-    return c
-
-
 def has_placeholder(c: Column) -> Column:
     return F.regexp_replace(c, QUOTED, " ").rlike(PLACEHOLDER)
 
@@ -127,53 +118,82 @@ def is_latin(m: Column) -> Column:
     return F.substring_index(m, " ", 1).isin(LATIN) & (latin >= 2) & (latin * 2 >= F.size(words))
 
 
-def unit_class(text: Column, m: Column) -> Column:
-    """placeholder, filler, marker, message, explanation, weak or null, by the rules alone; the cheap tests go first."""
-    short = F.length(m) <= 90
-    return (
-        F.when(text.contains("[") & text.rlike(MARKER), "marker")
-        .when(text.rlike(r"[{}%$@<\[_]|&lt;|XX_") & ~text.rlike(TRAIL) & has_placeholder(squeezed(text)), "placeholder")
-        .when((short & m.isin(FILLERS)) | is_latin(m), "filler")
-        .when(short & m.isin(MESSAGES), "message")
-        .when(short & m.isin([*EXPLANATIONS, "code 0"]), "explanation")
-        .when(short & m.rlike(WEAK) & ~is_notice(m), "weak")
-    )
+def by_rule(text: Column, m: Column) -> Column:
+    """A marker, placeholder or pseudo-Latin: a case wherever it stands. The cheap tests go first."""
+    marker = text.contains("[") & text.rlike(MARKER)
+    placeholder = text.rlike(r"[{}%$@<\[_]|&lt;|XX_") & ~text.rlike(TRAIL) & has_placeholder(squeezed(text))
+    return marker | placeholder | is_latin(m)
+
 
+def wording(m: Column) -> Column:
+    """3 for a masked unit that reads wholly as filler, 2 as a message, 1 for one with such wording, else 0."""
+    stem = reduce(lambda c, s: c | m.contains(s), STEMS[1:], m.contains(STEMS[0]))
+    return F.when(~stem, 0).when(m.rlike(FILLER), 3).when(m.rlike(SURELY), 2).when(m.rlike(MAYBE), 1).otherwise(0)
 
-def recurring(weak: DataFrame) -> DataFrame:
-    """(h): hashes of the weak units (h, source) that recur over many sources and records."""
-    per_source = weak.groupBy("h", "source").agg(F.count("*").alias("n"))
-    return per_source.groupBy("h").agg(F.count("*").alias("sources"), F.sum("n").alias("n")).where((F.col("sources") >= RECURS) & (F.col("n") >= RECURS)).select("h")
-
-
-def _judged(units: DataFrame) -> DataFrame:
-    """(id, field, source, strong, message, plain, weak hashes) of each text that some rule touches; lines of a text are combined in the task that reads it."""
-    m = masked(F.col("text"))
-    units = units.select("id", "field", "source", "text", m.alias("m"))
-    units = units.select("id", "field", "source", "text", "m", unit_class(F.col("text"), F.col("m")).alias("class"))
-    reads = (F.col("class").isNull() | (F.col("class") == "weak")) & (F.col("field") == "content") & is_sentence(F.col("text")) & ~is_notice(F.col("m")) & ~F.col("text").rlike(TRAIL)
-    weak = F.when(F.col("class") == "weak", F.struct(F.xxhash64("m").alias("h"), reads.cast("int").alias("plain")))
-    units = units.select("id", "field", "source", "class", reads.cast("int").alias("plain"), weak.alias("h"))
-    has = lambda *c: F.max(F.when(F.col("class").isin(*c), 1).otherwise(0))
-    # no filter on class here: it would be pushed below and have the rules run twice
-    by = units.groupBy("id", "field").agg(
-        F.first("source").alias("source"), has("placeholder", "filler", "marker").alias("strong"), has("message").alias("message"),
-        F.sum("plain").alias("plain"), F.collect_list("h").alias("weak"),
+
+def _units(articles: DataFrame) -> DataFrame:
+    """(id, field, source, title, strong, units) of each title and content: of its units the sentences and those with wording, as (h, plain, wording)."""
+    a = articles.select("id", F.xxhash64(F.lower(F.coalesce(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]+)", 1), F.lit("")))).alias("source"), "title", "content")
+    stripped = reduce(lambda c, _: F.regexp_replace(c, SUFFIX, ""), range(2), squeezed(F.col("title")))
+    title = F.xxhash64(F.lower(F.coalesce("title", F.lit("")))).alias("title")
+    titles = a.where("title is not null and trim(title) <> '' and title <> 'Pending'").select("id", F.lit("title").alias("field"), "source", title, stripped.alias("text"))
+    lines = a.where("content is not null and content <> ''").select("id", F.lit("content").alias("field"), "source", title, F.explode(F.split("content", "\n")).alias("text"))
+
+    def judged(units: DataFrame) -> DataFrame:
+        m = masked(F.col("text"))
+        units = units.select("id", "field", "source", "title", "text", m.alias("m"))
+        units = units.select("id", "field", "source", "title", "text", "m", by_rule(F.col("text"), F.col("m")).cast("int").alias("strong"), wording(F.col("m")).alias("wording"))
+        plain = (F.col("strong") == 0) & (F.col("field") == "content") & is_sentence(F.col("text")) & ~F.col("text").rlike(TRAIL)
+        units = units.select("id", "field", "source", "title", "strong", F.struct(F.xxhash64("m").alias("h"), plain.cast("int").alias("plain"), "wording").alias("unit"))
+        unit = F.when((F.col("unit.plain") == 1) | (F.col("unit.wording") > 0), F.col("unit"))
+        # lines of a text are combined in the task that reads it
+        return units.groupBy("id", "field").agg(F.first("source").alias("source"), F.first("title").alias("title"), F.max("strong").alias("strong"), F.collect_list(unit).alias("units"))
+
+    return judged(titles).unionByName(judged(lines))
+
+
+def recurring(units: DataFrame) -> DataFrame:
+    """(h, sources, titles) of the groups of `units` (h, wording, source, title) that recur; titles are counted one a source."""
+    per_source = units.groupBy("h", "source").agg(F.min("title").alias("title"), F.max("wording").alias("wording"))
+    by = per_source.groupBy("h").agg(F.count("*").alias("sources"), F.countDistinct("title").alias("titles"), F.max("wording").alias("w"))
+    return by.where((F.col("sources") >= RECURS) | ((F.col("w") >= 2) & (F.col("sources") >= SURE))).select("h", "sources", "titles")
+
+
+def grouped(pages: DataFrame) -> DataFrame:
+    """(h, kind, ...) of the recurring groups of `pages` (id, bare, sentences, hits): filler, message, explanation, furniture or copy."""
+    hits = pages.select("bare", "sentences", F.explode("hits").alias("hit")).select("bare", "sentences", "hit.*")
+    by = hits.groupBy("h").agg(
+        F.avg("bare").alias("share"), F.avg(F.when(F.col("bare") == 1, F.col("sentences"))).alias("length"), F.max("sources").alias("sources"), F.max("titles").alias("titles"), F.max("wording").alias("w")
     )
-    return by.where("strong = 1 or message = 1 or size(weak) > 0")
+    stands = F.col("share") >= BARE
+    many = F.col("titles") >= RECURS
+    kind = (
+        F.when((F.col("w") == 3) & (F.col("share") >= 0.5), "filler")
+        .when(~stands, "furniture")
+        .when((F.col("w") == 2) | ((F.col("w") == 1) & (F.col("titles") >= SURE)), "message")
+        .when(many & (F.col("sources") >= PLAIN) & (F.col("titles") >= PLAIN) & (F.col("length") <= SHORT_PAGE), "message")
+        .when(many, "explanation")
+        .otherwise("copy")
+    )
+    return by.select("h", kind.alias("kind"))
 
 
 def residue(articles: DataFrame) -> DataFrame:
     """(id, field) of every title and content of `articles` (id, url, title, content) that is residue or a notice."""
-    a = articles.select("id", F.coalesce(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]+)", 1), F.lit("")).alias("source"), "title", "content")
-    stripped = reduce(lambda c, _: F.regexp_replace(c, SUFFIX, ""), range(2), squeezed(F.col("title")))
-    titles = a.where("title is not null and trim(title) <> '' and title <> 'Pending'").select("id", F.lit("title").alias("field"), "source", stripped.alias("text"))
-    lines = a.where("content is not null and content <> ''").select("id", F.lit("content").alias("field"), "source", F.explode(F.split("content", "\n")).alias("text"))
-    judged = written(_judged(titles).unionByName(_judged(lines)), "judged")
-    weak = judged.select("id", "field", "source", F.explode("weak").alias("w")).select("id", "field", "source", "w.h", "w.plain")
-    # weak lines that recur are messages and no article text, even if they read so
-    listed = weak.join(recurring(weak), "h", "left_semi").groupBy("id", "field").agg(F.sum("plain").alias("recurs"))
-    full = judged.join(listed, ["id", "field"], "left").select(
-        "id", "field", "strong", ((F.col("message") == 1) | F.col("recurs").isNotNull()).alias("message"), (F.col("plain") - F.coalesce("recurs", F.lit(0))).alias("plain")
-    )
-    return full.where("strong = 1 or (message and (field = 'title' or plain = 0))").select("id", "field")
+    texts = written(_units(articles), "units")
+    each = texts.select("id", "field", "source", "title", F.explode("units").alias("unit")).select("id", "field", "source", "title", "unit.*")
+    again = broadcast_if_small(recurring(each), name="recurring")
+    hits = each.join(again, "h").groupBy("id", "field").agg(
+        F.sum(F.when(F.col("sources") >= RECURS, F.col("plain")).otherwise(0)).alias("recurs"), F.collect_list(F.struct("h", "plain", "wording", "sources", "titles")).alias("hits")
+    )
+    sentences = F.aggregate("units", F.lit(0), lambda s, u: s + u["plain"])
+    pages = texts.where("strong = 0").select("id", "field", sentences.alias("sentences")).join(hits, ["id", "field"])
+    pages = written(pages.select("id", "field", "sentences", (F.col("recurs") == F.col("sentences")).cast("int").alias("bare"), "hits"), "pages")
+    kinds = broadcast_if_small(grouped(pages.where("field = 'content'")), name="kinds")
+    judged = pages.select("id", "field", "sentences", F.explode("hits").alias("hit")).select("id", "field", "sentences", "hit.*").join(kinds, "h", "left")
+    known = F.col("kind").isin("message", "filler", "explanation", "furniture")
+    worded = (F.col("wording") >= 2) | ((F.col("wording") == 1) & (F.col("sources") >= RECURS))
+    message = F.when(F.col("field") == "content", F.col("kind").isin("message", "filler")).otherwise(F.col("kind").isin("message", "filler") | (worded & F.coalesce(F.col("kind") != "furniture", F.lit(True))))
+    by = judged.groupBy("id", "field").agg(F.max(message.cast("int")).alias("message"), F.sum(F.when(known, F.col("plain")).otherwise(0)).alias("known"), F.max("sentences").alias("sentences"), F.max((F.col("kind") == "filler").cast("int")).alias("filler"))
+    found = by.where((F.col("message") == 1) & ((F.col("filler") == 1) | (F.col("field") == "title") | (F.col("known") == F.col("sentences"))))
+    return texts.where("strong = 1").select("id", "field").unionByName(found.select("id", "field"))

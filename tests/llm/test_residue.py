@@ -1,31 +1,79 @@
+import pytest
+
 from corpusloom.llm import residue as R
 
 TEXT = "You should open the panel before you close the old window.\nWhat changes\nThe limit of 5 seats applies to every shared room."
-TITLES = {
-    "Page not found": 1, "404 Not Found | Foo Bar Office": 1, "Access denied (452)": 1, "{{title}}": 1, "Fix a {% BODY_TEXT %} folder": 1, "__link__": 1, "[Insert contact here]": 1, "$version$ - Foo Desk": 1, "Untitled page": 1, "Lorem dorem valum": 1, "undefined": 1, "404": 1,
-    "Template tags such as {{ name }} in the editor": 0, "Using ${HOME} with Foo": 0, 'Why "Page not found" appears in Foo': 0, "Error 500 in Foo: restart the queue": 0, "About.the__Foo__cluster": 0, "Pending": 0, "": 0, None: 0, "Lorem ipsum drafts: cleaning a notebook": 0, "About the firewall [2025]": 0,
-}
-CONTENTS = {
-    "Page not found\nPlease try again in a few minutes.\nCode 7": 1, "Menu\nLabs\nClose menu\nLoading...\n5 views": 1, "{{title}}\n[[link]]": 1, TEXT + "\nSee %%department%% for the full list.": 1, TEXT + "\nTBD TBD TBD": 1,
-    "Dorem valum sedo sitra irura labor tador enima.": 1, "[MINIMAL CONTENT: 5 chars]": 1, "[BROKEN ARTICLE: x]": 1,
-    TEXT: 0, TEXT + "\nPlease enable JavaScript to view this page.": 0, TEXT + "\nIn a mail template, the tag {{first_name}} is replaced by the name.": 0, "Some parts of this site need JavaScript to work.\n" + TEXT: 0,
-    TEXT + "\nWrap repeated parts in {{% block body %}} so that it works.": 0, TEXT + "\nAuthors sometimes leave lorem ipsum in a draft; look for it.": 0, "Labs > Help > {{title}}\n" + TEXT: 0, "": 0, None: 0, TEXT + " word" * 100000: 0,
-}
-
-
-def test_cases(spark):
-    titles, contents = list(TITLES), list(CONTENTS)
-    rows = [(i, "https://h/a", t, TEXT, "s", 0) for i, t in enumerate(titles)] + [(1000 + i, None, "Fine title", c, "s", 0) for i, c in enumerate(contents)] * 2
-    df = spark.createDataFrame(rows, "id int, url string, title string, content string, source string, plain int")
-    got = {(r.id, r.field) for r in R.residue(df).collect()}
-    assert got == {(i, "title") for i, t in enumerate(titles) if TITLES[t]} | {(1000 + i, "content") for i, c in enumerate(contents) if CONTENTS[c]}
-    assert R.residue(df.limit(0)).isEmpty()
-
-
-def test_unlisted_message_counts_when_it_recurs(spark):
-    line = "Unexpected error 17, the view timed out"
-    few = [(1, "https://h1/a", "T", line)]
-    many = [(i, f"https://h{i}/a", "Unexpected error 17", "Menu\nUnexpected error 17, the view timed out") for i in range(8)]
-    make = lambda rows: spark.createDataFrame(rows, "id int, url string, title string, content string")
-    assert R.residue(make(few)).isEmpty()
-    assert {(r.id, r.field) for r in R.residue(make(many)).collect()} == {(i, f) for i in range(8) for f in ("title", "content")}
+RULED_TITLES = [
+    "{{title}}", "Fix a {% BODY_TEXT %} folder", "__link__", "[Insert contact here]", "$version$ - Foo Desk", "Lorem dorem valum", "__invoice_id__", "$customer$", "{{ customer-name }}", "[YOUR NAME]", "{0}", "XX_owner_XX", "&lt;date&gt;",
+]
+FINE_TITLES = [
+    "Template tags such as {{ name }} in the editor", "TEMPLATE  TAGS\tSUCH\xa0AS {{ NAME }} in the agent", "Using ${HOME} with Foo", 'Why "Page not found" appears in Foo', "Error 500 in Foo: restart the queue", "About.the__Foo__cluster", "__Foo__ bar", "__init__ of a class",
+    "Pending", "", None, "Lorem ipsum drafts: cleaning a notebook", "About the firewall [2025]", "The pattern [YOUR NAME] in a form", "Page not found",
+]
+RULED = ["{{title}}\n[[link]]", TEXT + "\nSee %%department%% for the full list.", "Dorem valum sedo sitra irura labor tador enima.", "[MINIMAL CONTENT: 5 chars]", "[BROKEN ARTICLE: x]", TEXT + "\nThis page was last checked by __date__."]
+FINE = [
+    TEXT, TEXT + "\nPlease enable JavaScript to view this page.", TEXT + "\nIn a mail template, the tag {{first_name}} is replaced by the name.", TEXT + "\nWrap repeated parts in {{% block body %}} so that it works.",
+    TEXT + "\nAuthors sometimes leave lorem ipsum in a draft; look for it.", "Labs > Help > {{title}}\n" + TEXT, "", None, TEXT + " word" * 100000,
+]
+SCHEMA = "id int, url string, title string, content string, source string, plain int, h int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "s", 0, 0) for r in rows], SCHEMA)
+
+
+def cases(df):
+    return {(r.id, r.field) for r in R.residue(df).collect()}
+
+
+def test_what_rules_find_in_a_unit(spark):
+    rows = [(i, "https://h/a", t, TEXT) for i, t in enumerate(RULED_TITLES + FINE_TITLES)] + [(1000 + i, None, "Fine title", c) for i, c in enumerate(RULED + FINE)] * 2
+    assert cases(frame(spark, rows)) == {(i, "title") for i in range(len(RULED_TITLES))} | {(1000 + i, "content") for i in range(len(RULED))}
+    assert R.residue(frame(spark, rows).limit(0)).isEmpty()
+
+
+MESSAGE = "The gears of this place are stuck, so nobody can read on."
+LONG = "We are very sorry to tell you that the gears of the machine that turns our pages have come to a halt, and that our people are looking for the missing spare part."
+
+
+def corpus(hosts=40):
+    """Articles of their own on each host, a notice beside them, error pages that no list knows, a listed message, filler, and one article copied to many hosts."""
+    cookie = "This place keeps small crumbs on your desk and counts them."
+    rows = []
+    for k in range(hosts):
+        host = f"https://h{k}.example/"
+        for j in range(5):
+            rows.append((len(rows), host + "a", f"Article {chr(97 + j)} of place {k}x", f"{cookie}\nThe {k}th shelf of hall {'abcde'[j]}{k}x holds the {chr(97 + k % 26)}{k}q books.\nTurn left at the {'abcde'[j]}{k}y stairs and then go up."))
+        rows.append((len(rows), host + "e", f"Something about {k}z", f"{cookie}\n{MESSAGE}\n{LONG}"))
+        rows.append((len(rows), host + "f", f"Other thing {k}z", "Menu\nPage not found\nIt may have been moved, renamed or removed."))
+        rows.append((len(rows), host + "g", "Access denied | Foo Bar Office" if k % 2 else "Access denied (452)", f"The {k}th window of room {k}w looks out to the {k}v yard."))
+        rows.append((len(rows), host + "h", f"Draft {k}z", f"The {k}th box {k}u goes to the long hall.\nTBD TBD TBD"))
+        rows.append((len(rows), host + "c", "How the shared boat is rowed", "The shared boat is rowed by four people.\nAn error message shows that one of them fell asleep.\nWake them with a long stick."))
+    return rows
+
+
+def expected(rows):
+    kind = {r[0]: r[1][-1] for r in rows}
+    return {(i, "content") for i, k in kind.items() if k in "efh"} | {(i, "title") for i, k in kind.items() if k == "g"}
+
+
+def test_recurring_messages_are_found_whether_listed_or_not(spark):
+    rows = corpus()
+    assert cases(frame(spark, rows)) == expected(rows)
+
+
+def test_without_groups_across_sources_no_message_is_found(spark, monkeypatch):
+    rows = corpus()
+    assert cases(frame(spark, [(i, "https://one.example/a", t, c) for i, _, t, c in rows])) == set()
+    monkeypatch.setattr(R, "recurring", lambda units: units.selectExpr("h", "1L as sources", "1L as titles").limit(0))
+    assert cases(frame(spark, rows)) == set()
+
+
+@pytest.mark.parametrize("text", ["404", "404 Not Found", "HTTP Status 503", "Your session has expired", "[object Object]", "Loading...", "Please enable JavaScript to view this page.", "Page introuvable", "Bad gateway"])
+def test_wording_of_whole_messages(spark, text):
+    assert spark.createDataFrame([(text,)], "t string").select(R.wording(R.masked(R.F.col("t"))).alias("w")).first().w == 2
+
+
+@pytest.mark.parametrize("text", ["Heading one goes here", "TBD TBD TBD", "blah blah blah", "Sample paragraph. Sample paragraph. Sample paragraph.", "Untitled page", "xxxxx xxxxx xxx xxxxxx"])
+def test_wording_of_filler(spark, text):
+    assert spark.createDataFrame([(text,)], "t string").select(R.wording(R.masked(R.F.col("t"))).alias("w")).first().w == 3
