@@ -30,18 +30,12 @@ from pyspark.sql import functions as F
 from corpusloom.session import broadcast_if_small, written
 
 #: A group recurs on so many sources; one that reads wholly as a message on SURE; one without such wording on PLAIN.
-RECURS, SURE, PLAIN = 5, 2, 10
+RECURS, SURE, PLAIN = 5, 3, 10
 #: Share of bare pages from which a group stands in place of the article.
 BARE = 0.8
 #: Sentences of a page on which a group without wording is a message, at most, on the average.
 SHORT_PAGE = 3
 
-# Parts of words that the phrase rules look for; a unit without any of them has no wording.
-STEMS = (
-    "error fehler erreur status code denied gateway proxy timeout timed forbidden unauthor expired requests found gefunden introuvable encontrad exist went unavailable "
-    "available verfügbar maintenance failed broken undefined null object loading moment script support human robot captcha browser request incident reference "
-    "insert enter goes here untitled new test lorem placeholder text tbd coming xxx blah asdf sample paragraph write introduction can't can’t 0"
-).split()
 #: Wording of a whole unit that is filler.
 FILLER = (
     r"^(?:(?:insert|enter|add|your) (?:\w+ )?(?:title|name|text)|(?:\w+ ){1,3}goes here\.?|untitled(?: \w+)?|new page|test test|(?:tbd\W*){2,}|(?:x{3,}\W*)+|content coming soon|lorem ipsum"
@@ -115,48 +109,61 @@ def is_latin(m: Column) -> Column:
     """Begins with pseudo-Latin filler, and at least half of its words, and two, are such."""
     words = F.filter(F.split(m, r"[^\p{L}]+"), lambda w: w != "")
     latin = F.size(F.filter(words, lambda w: w.isin(LATIN)))
-    return F.substring_index(m, " ", 1).isin(LATIN) & (latin >= 2) & (latin * 2 >= F.size(words))
+    # the test of the first word keeps the others from most lines
+    return F.when(F.substring_index(m, " ", 1).isin(LATIN), (latin >= 2) & (latin * 2 >= F.size(words))).otherwise(False)
 
 
 def by_rule(text: Column, m: Column) -> Column:
     """A marker, placeholder or pseudo-Latin: a case wherever it stands. The cheap tests go first."""
-    marker = text.contains("[") & text.rlike(MARKER)
-    placeholder = text.rlike(r"[{}%$@<\[_]|&lt;|XX_") & ~text.rlike(TRAIL) & has_placeholder(squeezed(text))
-    return marker | placeholder | is_latin(m)
+    signs = text.rlike(r"[{}%$@<\[_]|&lt;|XX_")
+    return F.when(signs & text.rlike(MARKER), True).when(signs & has_placeholder(squeezed(text)), ~text.rlike(TRAIL)).otherwise(is_latin(m))
 
 
 def wording(m: Column) -> Column:
     """3 for a masked unit that reads wholly as filler, 2 as a message, 1 for one with such wording, else 0."""
-    stem = reduce(lambda c, s: c | m.contains(s), STEMS[1:], m.contains(STEMS[0]))
-    return F.when(~stem, 0).when(m.rlike(FILLER), 3).when(m.rlike(SURELY), 2).when(m.rlike(MAYBE), 1).otherwise(0)
+    return F.when(m.rlike(FILLER), 3).when(m.rlike(SURELY), 2).when(m.rlike(MAYBE), 1).otherwise(0)
 
 
-def _units(articles: DataFrame) -> DataFrame:
-    """(id, field, source, title, strong, units) of each title and content: of its units the sentences and those with wording, as (h, plain, wording)."""
-    a = articles.select("id", F.xxhash64(F.lower(F.coalesce(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]+)", 1), F.lit("")))).alias("source"), "title", "content")
+def _lines(articles: DataFrame, *columns: Column) -> tuple[DataFrame, DataFrame]:
+    """(id, field, the columns given, text) of each title, without the site's name, and of each line of each content."""
     stripped = reduce(lambda c, _: F.regexp_replace(c, SUFFIX, ""), range(2), squeezed(F.col("title")))
-    title = F.xxhash64(F.lower(F.coalesce("title", F.lit("")))).alias("title")
-    titles = a.where("title is not null and trim(title) <> '' and title <> 'Pending'").select("id", F.lit("title").alias("field"), "source", title, stripped.alias("text"))
-    lines = a.where("content is not null and content <> ''").select("id", F.lit("content").alias("field"), "source", title, F.explode(F.split("content", "\n")).alias("text"))
+    titles = articles.where("title is not null and trim(title) <> '' and title <> 'Pending'").select("id", F.lit("title").alias("field"), *columns, stripped.alias("text"))
+    lines = articles.where("content is not null and content <> ''").select("id", F.lit("content").alias("field"), *columns, F.explode(F.split("content", "\n")).alias("text"))
+    return titles, lines
+
+
+def _units(articles: DataFrame) -> DataFrame:
+    """(id, field, source, title, strong, units) of each title and content: hashes of the source and the title, and of each unit (h, plain)."""
+    host = F.lower(F.coalesce(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]+)", 1), F.lit("")))
 
     def judged(units: DataFrame) -> DataFrame:
-        m = masked(F.col("text"))
-        units = units.select("id", "field", "source", "title", "text", m.alias("m"))
-        units = units.select("id", "field", "source", "title", "text", "m", by_rule(F.col("text"), F.col("m")).cast("int").alias("strong"), wording(F.col("m")).alias("wording"))
-        plain = (F.col("strong") == 0) & (F.col("field") == "content") & is_sentence(F.col("text")) & ~F.col("text").rlike(TRAIL)
-        units = units.select("id", "field", "source", "title", "strong", F.struct(F.xxhash64("m").alias("h"), plain.cast("int").alias("plain"), "wording").alias("unit"))
-        unit = F.when((F.col("unit.plain") == 1) | (F.col("unit.wording") > 0), F.col("unit"))
+        units = units.select("id", "field", "source", "title", "text", masked(F.col("text")).alias("m"))
+        units = units.select("id", "field", "source", "title", "text", F.xxhash64("m").alias("h"), by_rule(F.col("text"), F.col("m")).cast("int").alias("strong"))
+        plain = F.when((F.col("strong") == 0) & (F.col("field") == "content") & is_sentence(F.col("text")), (~F.col("text").rlike(TRAIL)).cast("int")).otherwise(0)
+        unit = F.when(F.col("strong") == 0, F.struct("h", plain.alias("plain")))
         # lines of a text are combined in the task that reads it
-        return units.groupBy("id", "field").agg(F.first("source").alias("source"), F.first("title").alias("title"), F.max("strong").alias("strong"), F.collect_list(unit).alias("units"))
+        return units.select("id", "field", "source", "title", "strong", unit.alias("unit")).groupBy("id", "field").agg(
+            F.first("source").alias("source"), F.first("title").alias("title"), F.max("strong").alias("strong"), F.collect_list("unit").alias("units")
+        )
 
+    titles, lines = _lines(articles, F.xxhash64(host).alias("source"), F.xxhash64(F.lower(F.coalesce("title", F.lit("")))).alias("title"))
     return judged(titles).unionByName(judged(lines))
 
 
 def recurring(units: DataFrame) -> DataFrame:
-    """(h, sources, titles) of the groups of `units` (h, wording, source, title) that recur; titles are counted one a source."""
-    per_source = units.groupBy("h", "source").agg(F.min("title").alias("title"), F.max("wording").alias("wording"))
-    by = per_source.groupBy("h").agg(F.count("*").alias("sources"), F.countDistinct("title").alias("titles"), F.max("wording").alias("w"))
-    return by.where((F.col("sources") >= RECURS) | ((F.col("w") >= 2) & (F.col("sources") >= SURE))).select("h", "sources", "titles")
+    """(h, sources, titles) of the groups of `units` (h, source, title) that stand on SURE sources or more; titles are counted one a source."""
+    per_source = units.groupBy("h", "source").agg(F.min("title").alias("title"))
+    by = per_source.groupBy("h").agg(F.count("*").alias("sources"), F.countDistinct("title").alias("titles"))
+    return by.where(F.col("sources") >= SURE).select("h", "sources", "titles")
+
+
+def worded(articles: DataFrame, groups: DataFrame) -> DataFrame:
+    """`groups` (h, sources, titles) with the wording of each, read once a group; those on fewer than RECURS sources only if they read wholly as a message."""
+    titles, lines = _lines(articles)
+    units = titles.unionByName(lines).select(masked(F.col("text")).alias("m")).select("m", F.xxhash64("m").alias("h"))
+    texts = units.join(groups.select("h"), "h", "left_semi").groupBy("h").agg(F.min("m").alias("m"))
+    both = groups.join(texts, "h").select("h", "sources", "titles", wording(F.col("m")).alias("wording"))
+    return both.where((F.col("sources") >= RECURS) | (F.col("wording") >= 2))
 
 
 def grouped(pages: DataFrame) -> DataFrame:
@@ -182,9 +189,9 @@ def residue(articles: DataFrame) -> DataFrame:
     """(id, field) of every title and content of `articles` (id, url, title, content) that is residue or a notice."""
     texts = written(_units(articles), "units")
     each = texts.select("id", "field", "source", "title", F.explode("units").alias("unit")).select("id", "field", "source", "title", "unit.*")
-    again = broadcast_if_small(recurring(each), name="recurring")
+    again = broadcast_if_small(worded(articles, broadcast_if_small(recurring(each), name="recurring")), name="worded")
     hits = each.join(again, "h").groupBy("id", "field").agg(
-        F.sum(F.when(F.col("sources") >= RECURS, F.col("plain")).otherwise(0)).alias("recurs"), F.collect_list(F.struct("h", "plain", "wording", "sources", "titles")).alias("hits")
+        F.sum("plain").alias("recurs"), F.collect_list(F.struct("h", "plain", "wording", "sources", "titles")).alias("hits")
     )
     sentences = F.aggregate("units", F.lit(0), lambda s, u: s + u["plain"])
     pages = texts.where("strong = 0").select("id", "field", sentences.alias("sentences")).join(hits, ["id", "field"])
@@ -192,8 +199,7 @@ def residue(articles: DataFrame) -> DataFrame:
     kinds = broadcast_if_small(grouped(pages.where("field = 'content'")), name="kinds")
     judged = pages.select("id", "field", "sentences", F.explode("hits").alias("hit")).select("id", "field", "sentences", "hit.*").join(kinds, "h", "left")
     known = F.col("kind").isin("message", "filler", "explanation", "furniture")
-    worded = (F.col("wording") >= 2) | ((F.col("wording") == 1) & (F.col("sources") >= RECURS))
-    message = F.when(F.col("field") == "content", F.col("kind").isin("message", "filler")).otherwise(F.col("kind").isin("message", "filler") | (worded & F.coalesce(F.col("kind") != "furniture", F.lit(True))))
+    message = F.when(F.col("field") == "content", F.col("kind").isin("message", "filler")).otherwise(F.col("kind").isin("message", "filler") | ((F.col("wording") > 0) & F.coalesce(F.col("kind") != "furniture", F.lit(True))))
     by = judged.groupBy("id", "field").agg(F.max(message.cast("int")).alias("message"), F.sum(F.when(known, F.col("plain")).otherwise(0)).alias("known"), F.max("sentences").alias("sentences"), F.max((F.col("kind") == "filler").cast("int")).alias("filler"))
     found = by.where((F.col("message") == 1) & ((F.col("filler") == 1) | (F.col("field") == "title") | (F.col("known") == F.col("sentences"))))
     return texts.where("strong = 1").select("id", "field").unionByName(found.select("id", "field"))
