@@ -75,20 +75,20 @@ def _hash(text: str) -> int:
 
 
 def line_features(line: str) -> tuple[list[str], int]:
-    """Features of a line by itself, and its kind. A long line is known by its first and last words, a short one by all."""
-    words = line.split()
-    n = len(words)
+    """Features of a line by itself, from all of its words, and its kind."""
+    low = _DIGITS.sub("0", line.lower())
+    w = low.split()
+    n = len(w)
     k = kind_of(line, n)
-    if n > 12:
-        low = _DIGITS.sub("0", " ".join(words[:3] + words[-2:]).lower())
-        w = low.split(" ")
-        return [f"k{k}", f"{k}n12", "f" + w[0], "g" + w[0] + " " + w[1], "h" + " ".join(w[:3]), f"{k}z{w[-2]} {w[-1]}", "upper" if line.isupper() else "mixed"], k
-    low = _DIGITS.sub("0", " ".join(words).lower())
-    w = low.split(" ")
-    out = [f"k{k}", f"{k}n{n}", f"{k}e{low[-1:]}", f"{k}b{low[:1]}", "f" + w[0], "g" + " ".join(w[:2]), "h" + " ".join(w[:3]), f"{k}z{' '.join(w[-2:])}", "l" + low]
-    out += ["w" + x for x in w]
-    out += ["c" + c for c in _SIGNS if c in low]
-    out.append("upper" if line.isupper() else "mixed")
+    out = [f"k{k}", f"{k}n{min(n, 13)}", "upper" if line.isupper() else "mixed"]
+    if w:
+        out += ["f" + w[0], "g" + " ".join(w[:2]), "h" + " ".join(w[:3]), f"{k}z{' '.join(w[-2:])}"]
+        out += ["w" + x for x in w]
+    if n <= 12:
+        # a long line is hardly ever the same twice, and any of these signs stands in some
+        low = " ".join(w)
+        out += [f"{k}e{low[-1:]}", f"{k}b{low[:1]}", "l" + low]
+        out += ["c" + c for c in _SIGNS if c in low]
     return out, k
 
 
@@ -188,12 +188,10 @@ def split_pages(contents: list[str], titles: list[str | None]):
     np.cumsum([len(p) for p in pages], out=starts[1:])
     titled = np.zeros(int(starts[-1]), dtype=np.int64)
     for i, (lines, title) in enumerate(zip(pages, titles)):
-        t = title.strip().lower() if title else ""
-        if len(t) < 4:
-            continue
-        for k, line in enumerate(lines):
-            if len(t) <= len(line) < len(t) + 90 and t in (low := line.lower()):
-                titled[starts[i] + k] = 2 if low.strip(" •*-") == t else 1
+        if t := title.strip().lower() if title else "":
+            for k, line in enumerate(lines):
+                if len(t) <= len(line) and t in (low := line.lower()):
+                    titled[starts[i] + k] = 2 if low.strip(" •*-") == t else 1
     return pages, starts, titled
 
 
