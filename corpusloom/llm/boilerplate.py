@@ -7,9 +7,12 @@ distance of parent and child. One upward and one downward sum-product pass, for
 exact marginals; a line is boilerplate where its marginal is below one half. Weights are fitted by gradient ascent on
 the exact log-likelihood of labelled pages.
 
-No page in the tables is labelled, so labels come from `label_lines`, a labelling function over fixed phrases that
-abstains from nothing; it is applied to a bounded sample (LABEL_PAGES pages with the smallest id hashes), and the
-fitted model, not the function, decides on every line of every page.
+No page in the tables is labelled, so a bounded sample of pages (LABEL_PAGES, those with the smallest id hashes) is
+labelled by statistics of the whole corpus, not by any phrase: a sentence that stands under very many titles is
+furniture, one that doesn't is main body; another line that stands under very many titles is a heading if it mostly
+stands between sentences, else furniture; a line that no sentence follows is no heading, a short one between two is. Doubtful lines stay without a label and
+are summed over (the gradient is the difference of the marginals with and without the labels). The fitted model, not
+the labels, decides on every line of every page.
 
 Defined cases: null and empty contents give no lines; a title may be null; empty lines are nodes like others; an empty
 table gives an untrained model and no rows; extra columns are ignored; lines and pages of any length are read whole.
@@ -26,13 +29,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import ship_package
+from corpusloom.llm import residue
+from corpusloom.session import broadcast_if_small, ship_package, written
 
 #: Bound of the labelled sample.
 LABEL_PAGES = 2500
 #: Hashed node features.
 SPACE = 1 << 15
 EPOCHS = 80
+#: A line recurs if it stands under so many titles, as a share of the pages, and under so many at least.
+RECURS, LEAST_TITLES = 0.0008, 5
+#: Share of its places at which a heading has a sentence before it, and after it.
+HEADING = 0.45
+CERTAIN = 60.0
 #: Pages whose messages are passed at once.
 PAGES_AT_ONCE = 2000
 
@@ -46,6 +55,7 @@ PLACES = 8
 _PARTS = re.compile(r"\s[|·•]\s|\s»\s|\s::\s|\s/\s|\s>\s|\s-\s.*\s-\s|\S\s{2,}\S")
 _STEP = re.compile(r"(?:[-*•]\s|\d+[.)]\s|step \d+[:.]\s|(?:note|tip|warning|important|caution):)", re.I)
 _DIGITS = re.compile(r"\d+")
+_TRAIL = re.compile(residue.TRAIL)
 _QUOTES = "\"'”’)"
 _SIGNS = ("|", "·", "»", "::", " > ", " / ", "©", "?", '"', "(")
 
@@ -195,78 +205,69 @@ def split_pages(contents: list[str], titles: list[str | None]):
     return pages, starts, titled
 
 
-# Phrases of page furniture, for the labelling function only.
-_FURNITURE = re.compile(
-    r"^(?:we use cookies|cookies help us|by browsing these pages|this site stores small files|our partners and we set cookies|some of the cookies on this|este portal usa cookies|"
-    r"ce site utilise des cookies|diese website speichert|some parts of this site need javascript|search this site|close menu|menu$|toggle navigation|skip to main content|back to top|"
-    r"a- a a\+|\d+ views$|\d+ comments$|was this page helpful|did this solve your problem|rate this article|leave a comment|listen to this page|copy link|share on:|print {2,}email|chat with us now|"
-    r"subscribe to updates for this page|follow us$|contact the service desk: \d|copyright \d{4}|© ?\d{4}|page \d+ \| last reviewed|read also:|.{3,60}, \d+ \S+ lane, phone [\d-]+$)",
-    re.I,
-)
-_LISTS = re.compile(r"^(?:related articles|other readers opened|you may also like|suggested pages|people also viewed|more from this section|recently updated|trending now|popular this week)$", re.I)
-_LEGAL = "imprint|privacy|trademarks|careers|site map|legal notice|terms of use|cookie settings|report abuse|accessibility statement|all rights reserved|freedom of information"
-_MENU = (
-    "home|news|maps|jobs|labs|help|media|staff|forms|tools|events|status|guides|search|sign in|network|library|contact|storage|partners|policies|services|about us|register|students|"
-    "research|training|accounts|software|security|feedback|printing|downloads|directory|calendar|catalogue|all topics|my requests"
-)
-_LEGAL_LINE = re.compile(rf"^(?:{_LEGAL})(?:\s*[-|·,]?\s*(?:{_LEGAL}))*$", re.I)
-_MENU_LINE = re.compile(rf"^(?:{_MENU})(?:\s*[|·]?\s*(?:{_MENU}))+$", re.I)
-_MENU_WORD = re.compile(rf"^(?:{_MENU})$", re.I)
-_TRAIL = re.compile(rf"^(?:{_MENU})\s(?:>|»|::|/)\s(?:{_MENU})\s(?:>|»|::|/)\s", re.I)
-_ORG = re.compile(r"^(?:[A-Z][\w'-]+ ){1,3}(?:Centre|Office|Support|Academy|Institute|College|Park|Desk|Systems|Services)$|^(?:[A-Z'-]+ ){1,3}(?:CENTRE|OFFICE|SUPPORT|ACADEMY|INSTITUTE|COLLEGE|PARK|DESK|SYSTEMS|SERVICES)$")
-
-
-def label_lines(lines: list[str]) -> np.ndarray:
-    """1 for main body, 0 for furniture, by phrases and by the runs that follow list heads and menus."""
-    y = np.ones(len(lines))
+def label_lines(lines: list[str], title: str | None, seen: list[tuple[int, float, float]], least: int, leads: set[str]) -> np.ndarray:
+    """1 for main body, 0 for furniture, -1 where in doubt.
+
+    `seen`: under how many titles each line stands, and how often a sentence is before and after it; lines of `least` titles
+    or more recur. `leads`: first words of recurring sentences; a sentence that begins like one, but doesn't recur, is in doubt, as is
+    one that begins like a page trail.
+    """
     kinds = [kind_of(x) for x in lines]
-    in_list = False
-    body = [i for i, k in enumerate(kinds) if k in (SENTENCE, STEP, COMMAND) and not _FURNITURE.match(lines[i].strip())]
-    first, last = (body[0], body[-1]) if body else (len(lines), -1)
-    for i, line in enumerate(lines):
-        s = line.strip()
-        if _LISTS.match(s):
-            y[i], in_list = 0, True
-        elif _FURNITURE.match(s) or _LEGAL_LINE.match(s) or _MENU_LINE.match(s) or _TRAIL.match(s):
-            y[i], in_list = 0, False
-        elif _MENU_WORD.match(s):
-            run = (i > 0 and not y[i - 1] and not in_list) or (i + 1 < len(lines) and _MENU_WORD.match(lines[i + 1].strip())) or i == 0
-            y[i], in_list = (0 if run else 1), False
-        elif _ORG.match(s) and (i < first or i > last):
-            y[i], in_list = 0, False
-        elif in_list and (kinds[i] in (TITLE, LEAD, PARTS) or s.endswith(")") or s.endswith("?") or s.startswith("•")):
+    own = title.strip().lower() if title else ""
+    reads = np.array([k in (SENTENCE, STEP, COMMAND) for k in kinds], dtype=bool)
+    y = np.full(len(lines), -1)
+    for i in np.flatnonzero(reads):
+        y[i] = 0 if seen[i][0] >= least else -1 if lead_of(lines[i]) in leads or _TRAIL.match(lines[i]) else 1
+    full = [i for i, k in enumerate(kinds) if k != EMPTY]
+    body = {i for i in full if reads[i] and y[i] == 1}
+    for before, i, after in zip([None, *full[:-1]], full, [*full[1:], None]):
+        if reads[i]:
+            continue
+        titles, *beside = seen[i]
+        line = lines[i].strip()
+        short = kinds[i] in (LEAD, TITLE) and ". " not in line
+        if own and line.lower() == own:
+            y[i] = 1 if after in body else -1
+        elif titles >= least:
+            y[i] = 1 if short and min(beside) >= HEADING else 0
+        elif after not in body:
             y[i] = 0
-        else:
-            in_list = False
+        elif kinds[i] == LEAD and before in body:
+            y[i] = 1
     return y
 
 
-def train(contents: list[str], titles: list[str | None], label: Callable[[list[str]], np.ndarray] = label_lines, epochs: int = EPOCHS) -> Model:
-    """A model fitted to labelled pages by Adam on the exact gradient of the tree's log-likelihood."""
+def lead_of(line: str) -> str:
+    """The first three words."""
+    return " ".join(_DIGITS.sub("0", line.lower()).split()[:3])
+
+
+def train(contents: list[str], titles: list[str | None], labels: list[np.ndarray], epochs: int = EPOCHS) -> Model:
+    """A model fitted to pages by Adam on the exact gradient of the log-likelihood of their labels (1, 0, or -1 for none)."""
     model = Model()
     if not contents:
         return model
     pages, starts, titled = split_pages(contents, titles)
-    feats, kinds, y = [], [], []
+    feats, kinds = [], []
     for lines in pages:
-        y.append(label(lines))
         for line in lines:
             f, k = line_features(line)
             feats.append([_hash(x) for x in f])
             kinds.append(k)
-    y = np.concatenate(y)
+    y = np.concatenate(labels)
     b = Batch(np.array(kinds), starts, titled)
     node_of = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
     flat = np.concatenate([np.array(f) for f in feats])
-    yi = y.astype(int)
-    y_parent = np.where(b.parent >= 0, yi[b.parent], 0)
     state = [(np.zeros_like(a), np.zeros_like(a)) for a in model.arrays()]
     n = len(y)
+    # a label is a potential that no other can outweigh
+    known = np.where(y < 0, 0.0, np.where(y > 0, CERTAIN, -CERTAIN))
     for t in range(1, epochs + 1):
         rate = 0.15 if 2 * t < epochs else 0.05
         own = np.bincount(node_of, weights=model.node[flat], minlength=n)
         main, pair = marginals(model, b, own, edges=True)
-        g = y - main
+        main_known, pair_known = marginals(model, b, own + known, edges=True)
+        g = main_known - main
         grads = [np.bincount(flat, weights=g[node_of], minlength=SPACE)]
         near = np.zeros_like(model.near)
         for o in range(len(OFFSETS)):
@@ -275,9 +276,7 @@ def train(contents: list[str], titles: list[str | None], label: Callable[[list[s
         np.add.at(top, (b.top, b.kinds), g)
         np.add.at(end, (b.end, b.kinds), g)
         np.add.at(tit, (b.titled, b.kinds), g)
-        seen = np.zeros_like(pair)
-        seen[np.arange(n), y_parent, yi] = 1
-        np.add.at(edge, (b.kinds, b.parent_kind, b.distance), seen - pair)
+        np.add.at(edge, (b.kinds, b.parent_kind, b.distance), pair_known - pair)
         for a, (m, v), d in zip(model.arrays(), state, [*grads, near, top, end, tit, edge]):
             d = d - 0.02 * a
             m *= 0.9
@@ -321,15 +320,40 @@ class Scorer:
         return pages, starts, marginals(self.model, Batch(kinds, starts, titled), own) >= 0.5
 
 
-def fit(articles: DataFrame, pages: int = LABEL_PAGES) -> Model:
-    """A model fitted to `pages` labelled pages of `articles` (id, title, content), those with the smallest id hashes."""
+def line_statistics(units: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, hashes) of the lines of `pages` (id), and (h, titles, before, after) of these lines over all of `units` (residue.text_units).
+
+    `titles`: the titles under which a line stands; `before`, `after`: how often a sentence is the line before and after it.
+    """
+    contents = units.where("field = 'content'").select("id", "title", F.array_sort("units").alias("units"))
+    mine = written(contents.join(pages, "id", "left_semi").select("id", F.transform("units", lambda u: u["h"]).alias("hashes")), "labelled")
+    wanted = broadcast_if_small(mine.select(F.explode("hashes").alias("h")).distinct(), name="wanted")
+    each = contents.select("title", F.explode(F.expr("transform(units, (u, i) -> struct(u.h as h, coalesce(get(units, i - 1).plain, 0) as prev, coalesce(get(units, i + 1).plain, 0) as next))")).alias("u")).select("title", "u.*")
+    per_title = each.join(wanted, "h", "left_semi").groupBy("h", "title").agg(F.count("*").alias("n"), F.sum("prev").alias("prev"), F.sum("next").alias("next"))
+    return mine, per_title.groupBy("h").agg(F.count("*").alias("titles"), (F.sum("prev") / F.sum("n")).alias("before"), (F.sum("next") / F.sum("n")).alias("after"))
+
+
+def fit(articles: DataFrame, units: DataFrame | None = None, pages: int = LABEL_PAGES) -> Model:
+    """A model fitted to `pages` pages of `articles` (id, url, title, content), labelled by the lines of all articles. `units`: their written text_units()."""
+    units = written(residue.text_units(articles), "units") if units is None else units
     have = articles.where("content is not null and content <> ''")
     h = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     total = have.count()
     cut = (1 << 30) if total <= pages else int((1 << 30) * pages / total)
     sample = have.where(h < cut).select(h.alias("h"), "id", "title", "content").limit(2 * pages).collect()
-    sample = sorted(sample, key=lambda r: (r.h, r.id))[:pages]
-    return train([r.content for r in sample], [r.title for r in sample])
+    sample = sorted({r.id: r for r in sample}.values(), key=lambda r: (r.h, r.id))[:pages]
+    if not sample:
+        return Model()
+    ids = articles.sparkSession.createDataFrame([(r.id,) for r in sample], f"id {articles.schema['id'].dataType.simpleString()}")
+    mine, stats = line_statistics(units, F.broadcast(ids))  # at most `pages` ids
+    # as many rows as the sample has lines
+    seen = {r.h: (r.titles, r.before, r.after) for r in stats.collect()}
+    hashes = {r.id: r.hashes for r in mine.dropDuplicates(["id"]).collect()}
+    least = max(LEAST_TITLES, int(RECURS * total))
+    lines = {r.id: r.content.split("\n") for r in sample}
+    of = {i: [seen.get(x, (0, 0.0, 0.0)) for x in hashes[i]] for i in lines}
+    leads = {lead_of(x) for i, page in lines.items() for x, (titles, *_) in zip(page, of[i]) if titles >= least and kind_of(x) in (SENTENCE, STEP)}
+    return train([r.content for r in sample], [r.title for r in sample], [label_lines(lines[r.id], r.title, of[r.id], least, leads) for r in sample])
 
 
 def _in_batches(model: Model, emit: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -344,11 +368,11 @@ def _in_batches(model: Model, emit: Callable) -> Callable[[Iterator[pa.RecordBat
     return run
 
 
-def page_map(articles: DataFrame, emit: Callable, schema: str, model: Model | None = None) -> DataFrame:
+def page_map(articles: DataFrame, emit: Callable, schema: str, model: Model) -> DataFrame:
     """What `emit` makes of the scored pages of `articles` (id, title, content), batch by batch; null and empty contents are left out."""
     ship_package(articles.sparkSession)
     pages = articles.where("content is not null and content <> ''").select("id", "title", "content")
-    return pages.mapInArrow(_in_batches(model or fit(articles), emit), schema)
+    return pages.mapInArrow(_in_batches(model, emit), schema)
 
 
 def boilerplate_lines(articles: DataFrame, model: Model | None = None) -> DataFrame:
@@ -360,7 +384,7 @@ def boilerplate_lines(articles: DataFrame, model: Model | None = None) -> DataFr
         page = np.searchsorted(starts, out, side="right") - 1
         return pa.RecordBatch.from_arrays([part.column("id").take(pa.array(page)), pa.array((out - starts[page] + 1).astype(np.int32))], names=["id", "line_no"])
 
-    return page_map(articles, emit, f"id {kind}, line_no int", model)
+    return page_map(articles, emit, f"id {kind}, line_no int", model or fit(articles))
 
 
 def main_bodies(articles: DataFrame, model: Model | None = None) -> DataFrame:
@@ -371,4 +395,4 @@ def main_bodies(articles: DataFrame, model: Model | None = None) -> DataFrame:
         bodies = ["\n".join(x for x, ok in zip(p, main[s:]) if ok) for p, s in zip(pages, starts)]
         return pa.RecordBatch.from_arrays([part.column("id"), pa.array(bodies)], names=["id", "body"])
 
-    return page_map(articles, emit, f"id {kind}, body string", model)
+    return page_map(articles, emit, f"id {kind}, body string", model or fit(articles))

@@ -15,8 +15,9 @@ LEDGER_DAY = "2025-01-01"
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     articles = table(spark, d, "articles")
-    lines = boilerplate.boilerplate_lines(articles)
-    out = residue.residue(articles).where("field = 'content'").select("id")
+    units = written(residue.text_units(articles), "units")
+    lines = boilerplate.boilerplate_lines(articles, boilerplate.fit(articles, units))
+    out = residue.residue(articles, units).where("field = 'content'").select("id")
     return lines.join(broadcast_if_small(out), "id", "left_anti").select("id", "line_no")
 
 

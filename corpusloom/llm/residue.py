@@ -125,22 +125,22 @@ def wording(m: Column) -> Column:
 
 
 def _lines(articles: DataFrame, *columns: Column) -> tuple[DataFrame, DataFrame]:
-    """(id, field, the columns given, text) of each title, without the site's name, and of each line of each content."""
+    """(id, field, the columns given, at, text) of each title, without the site's name, and of each line of each content, counted from 0."""
     stripped = reduce(lambda c, _: F.regexp_replace(c, SUFFIX, ""), range(2), squeezed(F.col("title")))
-    titles = articles.where("title is not null and trim(title) <> '' and title <> 'Pending'").select("id", F.lit("title").alias("field"), *columns, stripped.alias("text"))
-    lines = articles.where("content is not null and content <> ''").select("id", F.lit("content").alias("field"), *columns, F.explode(F.split("content", "\n")).alias("text"))
+    titles = articles.where("title is not null and trim(title) <> '' and title <> 'Pending'").select("id", F.lit("title").alias("field"), *columns, F.lit(0).alias("at"), stripped.alias("text"))
+    lines = articles.where("content is not null and content <> ''").select("id", F.lit("content").alias("field"), *columns, F.posexplode(F.split("content", "\n")).alias("at", "text"))
     return titles, lines
 
 
-def _units(articles: DataFrame) -> DataFrame:
-    """(id, field, source, title, strong, units) of each title and content: hashes of the source and the title, and of each unit (h, plain)."""
+def text_units(articles: DataFrame) -> DataFrame:
+    """(id, field, source, title, strong, units) of each title and content: hashes of the source and the title, and of each unit (at, h, plain, strong)."""
     host = F.lower(F.coalesce(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]+)", 1), F.lit("")))
 
     def judged(units: DataFrame) -> DataFrame:
-        units = units.select("id", "field", "source", "title", "text", masked(F.col("text")).alias("m"))
-        units = units.select("id", "field", "source", "title", "text", F.xxhash64("m").alias("h"), by_rule(F.col("text"), F.col("m")).cast("int").alias("strong"))
+        units = units.select("id", "field", "source", "title", "at", "text", masked(F.col("text")).alias("m"))
+        units = units.select("id", "field", "source", "title", "at", "text", F.xxhash64("m").alias("h"), by_rule(F.col("text"), F.col("m")).cast("int").alias("strong"))
         plain = F.when((F.col("strong") == 0) & (F.col("field") == "content") & is_sentence(F.col("text")), (~F.col("text").rlike(TRAIL)).cast("int")).otherwise(0)
-        unit = F.when(F.col("strong") == 0, F.struct("h", plain.alias("plain")))
+        unit = F.struct("at", "h", plain.alias("plain"), "strong")
         # lines of a text are combined in the task that reads it
         return units.select("id", "field", "source", "title", "strong", unit.alias("unit")).groupBy("id", "field").agg(
             F.first("source").alias("source"), F.first("title").alias("title"), F.max("strong").alias("strong"), F.collect_list("unit").alias("units")
@@ -185,10 +185,10 @@ def grouped(pages: DataFrame) -> DataFrame:
     return by.select("h", kind.alias("kind"))
 
 
-def residue(articles: DataFrame) -> DataFrame:
-    """(id, field) of every title and content of `articles` (id, url, title, content) that is residue or a notice."""
-    texts = written(_units(articles), "units")
-    each = texts.select("id", "field", "source", "title", F.explode("units").alias("unit")).select("id", "field", "source", "title", "unit.*")
+def residue(articles: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """(id, field) of every title and content of `articles` (id, url, title, content) that is residue or a notice. `texts`: their written text_units()."""
+    texts = written(text_units(articles), "units") if texts is None else texts
+    each = texts.select("id", "field", "source", "title", F.explode("units").alias("unit")).where("unit.strong = 0").select("id", "field", "source", "title", "unit.h", "unit.plain")
     again = broadcast_if_small(worded(articles, broadcast_if_small(recurring(each), name="recurring")), name="worded")
     hits = each.join(again, "h").groupBy("id", "field").agg(
         F.sum("plain").alias("recurs"), F.collect_list(F.struct("h", "plain", "wording", "sources", "titles")).alias("hits")
