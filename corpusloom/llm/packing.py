@@ -17,12 +17,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import ship_package
+from corpusloom.session import broadcast_if_small, ship_package
 
 #: Texts in a shard, on average.
 SHARD_ITEMS = 20_000
-#: Capacities of one call.
-MOST_LIMITS = 1000
 
 
 def _at_most(mask: int, size: int) -> int:
@@ -147,15 +145,13 @@ def pack_texts(documents: DataFrame, limits: DataFrame) -> DataFrame:
     ship_package(documents.sparkSession)
     docs = documents.where("n_tokens > 0").select("doc_id", "n_tokens")
     shards = max(1, -(-docs.count() // SHARD_ITEMS))
-    docs = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    wanted = limits.where("capacity > 0").select("limit_id", "capacity").limit(MOST_LIMITS + 1).collect()
-    if len(wanted) > MOST_LIMITS:
-        raise ValueError(f"more than {MOST_LIMITS} capacities; pack them in several calls")
+    docs = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
+    # each shard meets each capacity by its number
+    wanted = limits.where("capacity > 0").select("limit_id", "capacity").distinct().withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     kind = lambda df, c: df.schema[c].dataType.simpleString()
-    each_limit = [F.struct(F.lit(r.limit_id).cast(kind(limits, "limit_id")).alias("limit_id"), F.lit(r.capacity).cast(kind(limits, "capacity")).alias("capacity")) for r in wanted]
-    each = docs.withColumn("limit", F.explode(F.array(*each_limit) if wanted else F.expr("cast(array() as array<struct<limit_id:int,capacity:int>>)"))).select("*", "limit.*")
+    each = docs.join(broadcast_if_small(wanted, name="capacities"), "shard")
     pieces = F.expr("sequence(0, cast((n_tokens - 1) div capacity as int))")
     each = each.select("limit_id", "capacity", "shard", "doc_id", "n_tokens", F.explode(pieces).alias("piece"))
     each = each.withColumn("tokens", F.least(F.col("capacity"), F.col("n_tokens") - F.col("piece") * F.col("capacity")).cast("int")).drop("n_tokens")
     schema = f"limit_id {kind(limits, 'limit_id')}, capacity {kind(limits, 'capacity')}, container bigint, doc_id {kind(documents, 'doc_id')}, piece int, tokens int"
-    return each.groupBy("limit_id", "shard").applyInPandas(_pack_shard, schema)
+    return each.groupBy("limit_id", "capacity", "shard").applyInPandas(_pack_shard, schema)

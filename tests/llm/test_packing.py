@@ -1,7 +1,6 @@
 import random
 from collections import Counter
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -57,5 +56,10 @@ def test_texts(spark):
     for k in (1, 2):
         assert Counter((r.doc_id, r.tokens) for r in got if r.limit_id == k) == Counter({1: [(1, 5), (2, 10), (3, 10), (3, 10), (3, 5), (6, 5), (6, 5)], 2: [(1, 5), (2, 10), (3, 25), (6, 5), (6, 5)]}[k])
     assert P.pack_texts(docs.limit(0), limits).isEmpty() and P.pack_texts(docs, limits.limit(0)).isEmpty()
-    with pytest.raises(ValueError):
-        P.pack_texts(docs, spark.range(P.MOST_LIMITS + 1).selectExpr("cast(id as int) limit_id", "10 capacity"))
+
+
+def test_any_number_of_capacities(spark):
+    docs = spark.createDataFrame([(1, 5), (2, 10)], "doc_id bigint, n_tokens int")
+    limits = spark.range(1500).selectExpr("cast(id as int) limit_id", "cast(20 + id as int) capacity")
+    got = P.pack_texts(docs, limits).groupBy("limit_id").count().collect()
+    assert len(got) == 1500 and all(r["count"] == 2 for r in got)
