@@ -6,7 +6,8 @@ chain whose inverse is strictly decodable is inverted. A garbled sign that stand
 a quotation, and left, unless the text has garbled sentences of the same chain. A text with replacement characters has
 lost letters and cannot be restored.
 
-Defined cases: null and empty texts are no cases; texts without two neighbouring signs beyond ASCII are never read by Python; a text is judged sentence by
+Defined cases: null and empty texts are no cases; texts without two neighbouring signs beyond ASCII, or one of East
+Asia, cannot be garbled by these chains and are never read by Python; a text is judged sentence by
 sentence, whole, whatever its length; copies are each reported; with an empty sample nothing but lost text is found.
 """
 
@@ -34,11 +35,13 @@ LOST = "�"
 
 # Encodings that UTF-8 was read as. "cp1252" lets the control signs of Latin-1 through when it is inverted.
 WRONG = ("cp1252", "latin1", "iso8859_15", "iso8859_2", "cp1251", "mac_roman", "cp437")
+# Encodings that are tried as the only step of a chain, too.
+RARE = ("cp1250", "cp850", "gbk", "shift_jis")
 # Fixed values: (written in, read as) for one-byte encodings of Cyrillic.
 ONE_BYTE = (("cp1251", "cp1252"), ("koi8_r", "cp1251"), ("cp1251", "koi8_r"))
 #: A chain lists the steps in the order in which the text was garbled.
 CHAINS: tuple[tuple[tuple[str, str], ...], ...] = tuple(
-    [(("utf_8", a),) for a in WRONG]
+    [(("utf_8", a),) for a in WRONG + RARE]
     + [(("utf_8", a), ("utf_8", b)) for a, b in product(WRONG, WRONG)]
     + [(("utf_8", a),) * 3 for a in ("cp1252", "latin1")]
     + [(p,) for p in ONE_BYTE]
@@ -46,10 +49,8 @@ CHAINS: tuple[tuple[tuple[str, str], ...], ...] = tuple(
 _SENTENCES = re.compile(r"((?<=[.!?:…]) |\n)")
 _RUNS = re.compile(r"[^\x00-\x7f]+")
 _CYRILLIC = re.compile(r"[Ѐ-ӿ]")
-_PAIR = re.compile(r"[^\x00-\x7f]{2}")  # every garbled sign is two or more
-_QUOTING = re.compile(r"(?i)\b(?:search for|the sign|shows up|encoding|damaged)\b")
-_DENSE = re.compile(r"[A-Za-z][^\x00-\x7f]{2}|[^\x00-\x7f]{2}[A-Za-z]")  # letters beside garbled signs
-_THICK = re.compile(r"[À-ÿ¸¨]{3}")
+_PAIR = re.compile(r"[^\x00-\x7f]{2}|[぀-鿿｡-ﾟ]")  # a garbled sign is two or more, or one of East Asia
+_DENSE = re.compile(r"[A-Za-z](?:[^\x00-\x7f]{2}|[぀-鿿｡-ﾟ])|(?:[^\x00-\x7f]{2}|[぀-鿿｡-ﾟ])[A-Za-z]")  # letters beside garbled signs
 
 
 def _encode(s: str, codec: str) -> bytes:
@@ -121,7 +122,7 @@ def bigrams(s: str) -> np.ndarray:
 def suspects(s: str) -> list[int]:
     """Numbers of the chains whose inverse is strictly decodable for the sentence."""
     out, first = [], {}
-    for a in WRONG:
+    for a in WRONG + RARE:
         if (t := invert(s, (("utf_8", a),))) is not None:
             first[a] = t
     for n, chain in enumerate(CHAINS):
@@ -130,7 +131,7 @@ def suspects(s: str) -> list[int]:
             if last[1] in first and (len(chain) == 1 or invert(first[last[1]], chain[:-1]) is not None):
                 out.append(n)
         elif last == ("cp1251", "cp1252"):
-            if _THICK.search(s) and invert(s, chain) is not None:
+            if invert(s, chain) is not None:
                 out.append(n)
         elif _CYRILLIC.search(s):
             upper = sum(c.isupper() for c in s if c > "\x7f")
@@ -162,12 +163,9 @@ def train(texts: list[str]) -> np.ndarray:
 
 
 def _alone(s: str, chain: tuple[tuple[str, str], ...]) -> bool:
-    """True if all that is garbled is a single sign or two that no letter or digit touches."""
-    runs = [(m, t) for m in _RUNS.finditer(s) if (t := invert(m.group(), chain)) is not None]
-    if len(runs) != 1 or len(runs[0][1]) > 2:
-        return False
-    a, b = runs[0][0].span()
-    return not (s[a - 1 : a].isalnum() or s[b : b + 1].isalnum())
+    """True if all that is garbled are single signs or two that no letter or digit touches."""
+    runs = [(m.span(), t) for m in _RUNS.finditer(s) if (t := invert(m.group(), chain)) is not None]
+    return bool(runs) and all(len(t) <= 2 and not (s[a - 1 : a].isalnum() or s[b : b + 1].isalnum()) for (a, b), t in runs)
 
 
 def scores(s: str, logp: np.ndarray) -> dict[int, float]:
@@ -180,11 +178,13 @@ def scores(s: str, logp: np.ndarray) -> dict[int, float]:
 
 def _deeper(s: str, logp: np.ndarray) -> str:
     """What is left of a longer chain is inverted too."""
-    for _ in range(3):
-        more = scores(s, logp)
-        if not more or _alone(s, CHAINS[n := max(more, key=more.get)]):
-            break
+    # every inversion leaves fewer or other signs, so this ends; a sentence met again would go round
+    met = {s}
+    while (more := scores(s, logp)) and not _alone(s, CHAINS[n := max(more, key=more.get)]):
         s = invert(s, CHAINS[n])
+        if s in met:
+            break
+        met.add(s)
     return s
 
 
@@ -206,7 +206,7 @@ def restore(text: str, logp: np.ndarray) -> str | None:
     """The restored text, LOST if letters are destroyed, or None if nothing is garbled.
 
     The sentences that are surely garbled agree on the chain that is likeliest for all of them; it is inverted wherever it
-    is strictly decodable. A sign that stands alone is restored only if the whole text is garbled and doesn't quote it.
+    is strictly decodable. Signs that stand alone are restored only if all sentences of the text that have such signs are garbled.
     """
     if LOST in text:
         return LOST
@@ -231,7 +231,7 @@ def restore(text: str, logp: np.ndarray) -> str | None:
             s = invert(parts[k], CHAINS[best[k]]) if k in best and not alone[k] else mixed.get(k)
         elif k not in best and one_byte and not whole:
             s = None
-        elif (alone[k] if k in best else _alone(parts[k], CHAINS[main])) and not (whole and not _QUOTING.search(parts[k])):
+        elif (alone[k] if k in best else _alone(parts[k], CHAINS[main])) and not whole:
             s = None
         if s is not None:
             parts[k] = _deeper(s, logp)
@@ -266,4 +266,4 @@ def restored(documents: DataFrame, logp: np.ndarray | None = None) -> DataFrame:
                     md5.append("lost" if r == LOST else hashlib.md5(r.encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(at, pa.int64())), pa.array(out, pa.string()), pa.array(md5, pa.string())], names=["doc_id", "restored", "restored_md5"])
 
-    return docs.where(F.col("text").rlike("[^\\x00-\\x7f]{2}|" + LOST)).mapInArrow(go, f"doc_id {kind}, restored string, restored_md5 string")
+    return docs.where(F.col("text").rlike(r"[^\x00-\x7f]{2}|[\x{3040}-\x{9fff}\x{ff61}-\x{ff9f}]|" + LOST)).mapInArrow(go, f"doc_id {kind}, restored string, restored_md5 string")

@@ -43,3 +43,19 @@ def test_table(spark, logp):
     md5 = hashlib.md5(RIGHT[0].encode()).hexdigest()
     assert got == {100: md5, 101: md5, 102: "lost"}
     assert M.restored(df.limit(0)).isEmpty()
+
+
+def test_quoted_signs_are_no_case_whatever_the_words_around_them(logp):
+    for s in ("Type Ã¤ Ã¶ Ã¼ to see what a wrong import looks like.", "The letters Ã© and Ã¨ stand for two accents."):
+        assert M.restore(s, logp) is None
+
+
+def test_more_encodings_and_deep_chains(logp):
+    text = "Der Zugang für Prüfungen läuft über größere Räume und schöne Gänge."
+    for codec in M.WRONG + M.RARE:
+        if (g := M.garble(text, (("utf_8", codec),))) is not None:
+            assert M.restore(g, logp) == text, codec
+    deep = text
+    for _ in range(4):
+        deep = M.garble(deep, (("utf_8", "latin1"),))
+    assert M.restore(deep, logp) == text
