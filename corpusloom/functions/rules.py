@@ -62,8 +62,8 @@ CATEGORIES = {
     "google workspace": ["google", "gmail", "drive", "docs", "sheets"],
     "microsoft 365": ["office 365", "microsoft 365", "onedrive", "outlook"],
 }
-#: The organisation whose name is dropped from topic names, long and short form; the one of the test tables by default.
-ORGANISATION = ("veldmark institute", "veldmark")
+#: The organisation whose name is dropped from topic names, long and short form, lower-cased; none by default.
+ORGANISATION = ("", "")
 #: Titles that name no article; a site adds its own.
 GENERIC_TITLES = ["Pending", "Login", "Page Not Found", "Access Denied"]
 # The domains of the enrichment fields.

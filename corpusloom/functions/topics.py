@@ -23,16 +23,16 @@ def normalized_topic(
 ) -> Column:
     """The topic that a raw name stands for; `General` for null and empty names."""
     long, short = organisation[0].replace(" ", r"\s+"), organisation[1]
+    ends = ([(rf"\bat\s+{long}\b", ""), (rf"\b{long}\b", "")] if long else []) + (
+        [(rf"\bat\s+{short}\b", ""), (rf"^{short}\s+", ""), (rf"\s+{short}$", ""), (rf"\s+{short}\s+", " "), (rf"\s+on\s+{short}\b", "")] if short else []
+    )
     t = squeeze(F.lower(raw))
     t = F.regexp_replace(t, r"^(accessing|using|managing|configuring)\s+", "")
     t = F.regexp_replace(t, r"\s+my\s+", " ")
     t = squeeze(F.regexp_replace(t, r"\s*\([^)]+\)\s*", " "))
     known = F.create_map(*[F.lit(x) for x in chain.from_iterable(consolidation.items())])
     rest = t
-    for pattern, to in (
-        (rf"\bat\s+{long}\b", ""), (rf"\b{long}\b", ""), (rf"\bat\s+{short}\b", ""),
-        (rf"^{short}\s+", ""), (rf"\s+{short}$", ""), (rf"\s+{short}\s+", " "), (rf"\s+on\s+{short}\b", ""),
-    ):
+    for pattern, to in ends:
         rest = F.regexp_replace(rest, pattern, to)
     rest = F.regexp_replace(squeeze(rest), rf" (?:{'|'.join(suffixes)})$", "")
     return F.when(raw.isNull() | (raw == ""), "General").otherwise(F.coalesce(F.try_element_at(known, t), F.initcap(rest)))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import rules
 from corpusloom.functions.urls import kb_id, normalized_url
 from corpusloom.operators.numbering import numbered
+from corpusloom.session import broadcast_if_small
 
 MARKS = ("[BROKEN ARTICLE:", "[MINIMAL CONTENT:")
 
@@ -50,6 +51,11 @@ def unenriched(articles: DataFrame, enrichment: DataFrame) -> DataFrame:
     return todo.join(enrichment.select(F.col("article_id").alias("id")), "id", "left_anti")
 
 
+def unenriched_batch(articles: DataFrame, enrichment: DataFrame, n: int) -> DataFrame:
+    """The first `n` of unenriched() by id: the next batch for an extractor."""
+    return unenriched(articles, enrichment).orderBy("id").limit(n)
+
+
 def enriched(enrichment: DataFrame, articles: DataFrame) -> DataFrame:
     """Enrichments with the title and URL of their article."""
     a = articles.select(F.col("id").alias("article_id"), "title", "url")
@@ -138,8 +144,10 @@ def key_mapping(articles: DataFrame) -> DataFrame:
 def rewrite_links(links: DataFrame, replaced: DataFrame) -> DataFrame:
     """(source_id, target_id, created_at): ends replaced by their canonical article, one row a pair with its earliest date.
 
-    Links are reduced to distinct pairs before and after; loops that arise are kept.
+    Links are reduced to distinct pairs before and after; loops that arise are kept. The mapping is narrow, and where it is
+    small enough to be broadcast, the rows of a hot target stay where they are.
     """
+    replaced = broadcast_if_small(replaced.select("duplicate_id", "canonical_id"), name="replaced")
     pairs = links.groupBy("source_id", "target_id").agg(F.min("created_at").alias("created_at"))
     s = replaced.select(F.col("duplicate_id").alias("source_id"), F.col("canonical_id").alias("s"))
     t = replaced.select(F.col("duplicate_id").alias("target_id"), F.col("canonical_id").alias("t"))
@@ -184,6 +192,53 @@ def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str], order: str) -
     return old.join(last.select(*keys), keys, "left_anti").unionByName(last, allowMissingColumns=True)
 
 
+def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """`old` with the rows of `new` whose keys it lacks, one for each; rows with a null key are left out. Idempotent."""
+    add = new.dropna(subset=keys).dropDuplicates(keys).join(old.select(*keys), keys, "left_anti")
+    return old.unionByName(add, allowMissingColumns=True)
+
+
+def deduplicated(articles: DataFrame, links: DataFrame, enrichment: DataFrame, topic_articles: DataFrame, replaced: DataFrame, best: DataFrame) -> dict[str, DataFrame]:
+    """The four tables without the articles that `replaced` (duplicate_id, canonical_id) names.
+
+    Links move to the canonical articles, enrichments and topic rows of the duplicates go with them. `best` (canonical_id and
+    columns of articles) has the merged values of the canonical articles, `content_id` the row that the content comes from.
+    """
+    kept = survivors(articles, replaced)
+    filled = [c for c in best.columns if c in articles.columns and c not in ("id", "content")]
+    new = best.select(F.col("canonical_id").alias("id"), *[F.col(c).alias("_" + c) for c in filled], *(["content_id"] if "content_id" in best.columns else []), F.lit(True).alias("_merged"))
+    rows = kept.join(new, "id", "left")
+    content = F.col("content")
+    if "content_id" in best.columns:
+        # only texts that move are fetched
+        moved = best.where("content_id <> canonical_id").select(F.col("content_id").alias("from_id"), F.col("canonical_id").alias("id"))
+        texts = articles.select(F.col("id").alias("from_id"), F.col("content").alias("_content")).join(moved, "from_id").select("id", "_content")
+        rows, content = rows.join(texts, "id", "left"), F.coalesce("content", "_content")
+    merged = {c: F.when(F.col("_merged"), F.col("_" + c)).otherwise(F.col(c)) for c in filled} | {"content": content}
+    gone = replaced.select(F.col("duplicate_id").alias("article_id"))
+    return {
+        "articles": rows.select(*[merged.get(c, F.col(c)).alias(c) for c in articles.columns]),
+        "links": rewrite_links(links, replaced),
+        "article_enrichment": enrichment.join(gone, "article_id", "left_anti"),
+        "topic_articles": topic_articles.join(gone, "article_id", "left_anti"),
+    }
+
+
+def deduplicated_by_key(articles: DataFrame, links: DataFrame, enrichment: DataFrame, topic_articles: DataFrame) -> dict[str, DataFrame]:
+    """deduplicated() by article key: empty fields and contents come from the lowest id of the key that has them."""
+    rows = articles.select("id", F.coalesce(F.nullif("sys_kb_id", F.lit("")), kb_id(F.col("url"))).alias("key"), (has_content() & (F.col("content") != "Pending")).alias("filled")).where("key is not null")
+    source = rows.groupBy("key").agg(F.min(F.when(F.col("filled"), F.col("id"))).alias("first"))
+    best = best_attributes_by_key(articles).join(source, "key").join(rows.select(F.col("id").alias("canonical_id"), "filled"), "canonical_id")
+    best = best.withColumn("content_id", F.when(F.col("filled"), F.col("canonical_id")).otherwise(F.coalesce("first", "canonical_id"))).drop("first", "filled", "key")
+    return deduplicated(articles, links, enrichment, topic_articles, key_mapping(articles), best)
+
+
+def deduplicated_by_title(articles: DataFrame, links: DataFrame, enrichment: DataFrame, topic_articles: DataFrame) -> dict[str, DataFrame]:
+    """deduplicated() by title."""
+    best = best_attributes_by_title(articles).drop("title").withColumn("content_id", F.coalesce("content_id", "canonical_id"))
+    return deduplicated(articles, links, enrichment, topic_articles, title_mapping(articles), best)
+
+
 def upsert_articles(old: DataFrame, incoming: DataFrame, ingest: str = "ingest_order") -> DataFrame:
     """Incoming articles merged into `old` in three tiers; the last one by ingest order wins each target.
 

@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions import rules
 from corpusloom.functions.topics import fallback_category, normalized_topic
+from corpusloom.operators.names import holding
 from corpusloom.operators.numbering import numbered
 from corpusloom.session import written
 
 DIMENSIONS = ("intent", "complexity", "audience")
+#: Shares of the dimensions in the similarity of two profiles.
+PROFILE_WEIGHTS = {"audience": 0.5, "intent": 0.3, "complexity": 0.2}
 
 
-def assigned(enrichment: DataFrame, least: int = 2, strict: bool = False) -> DataFrame:
+def assigned(enrichment: DataFrame, least: int = 2, strict: bool = False, organisation: tuple[str, str] = rules.ORGANISATION) -> DataFrame:
     """(id, article_id, topic, raw, specific, the dimensions): each enrichment under its topic.
 
     A topic of fewer than `least` articles gives way to its broader category. Where such a topic is named like a
     category that an earlier enrichment brought up, the enrichment is lost, unless `strict`; only names of categories
-    can be, so the few rows concerned are settled in id order by the ids that brought the categories up.
+    can be, so what each category needs is the least id that brings it up, and these are settled in id order.
     """
-    rows = enrichment.select("id", "article_id", F.col("canonical_topic").alias("raw"), normalized_topic(F.col("canonical_topic")).alias("normal"), *DIMENSIONS)
+    rows = enrichment.select("id", "article_id", F.col("canonical_topic").alias("raw"), normalized_topic(F.col("canonical_topic"), organisation=organisation).alias("normal"), *DIMENSIONS)
     sizes = rows.groupBy("normal").agg(F.countDistinct("article_id").alias("n"))
     sizes = written(sizes.select("normal", (F.col("n") >= least).alias("specific"), fallback_category(F.col("normal")).alias("fallback")), "sizes")
     rows = written(rows.join(sizes, "normal"), "assigned")
@@ -27,18 +31,17 @@ def assigned(enrichment: DataFrame, least: int = 2, strict: bool = False) -> Dat
     moved = rows.where("not specific")
     if not strict:
         names = sizes.select(F.col("fallback").alias("name")).distinct().join(sizes.where("specific").select(F.col("normal").alias("name")), "name", "left_anti")
-        # rows under a dropped topic named like a category; such topics have fewer than `least` articles each
-        risky = moved.join(names, moved.normal == names.name, "left_semi").select("id", "normal", "fallback")
-        doubt = sorted(risky.collect(), key=lambda r: r["id"])  # at most a few rows for each category
+        # rows under a dropped topic named like a category
+        risky = moved.join(names, moved.normal == names.name, "left_semi")
         safe = moved.join(names.withColumnRenamed("name", "normal"), "normal", "left_anti")
-        created = {r["fallback"]: r["first"] for r in safe.groupBy("fallback").agg(F.min("id").alias("first")).collect()}  # one row a category
-        lost = []
-        for r in doubt:
-            if created.get(r["normal"], r["id"]) < r["id"]:
-                lost.append(r["id"])
-            else:
-                created[r["fallback"]] = min(created.get(r["fallback"], r["id"]), r["id"])
-        moved = moved.where(~F.col("id").isin(lost)) if lost else moved
+        # one row a category: where each is brought up, and the first row of each name in doubt
+        created = {r["fallback"]: r["first"] for r in safe.groupBy("fallback").agg(F.min("id").alias("first")).collect()}
+        doubt = risky.groupBy("normal", "fallback").agg(F.min("id").alias("first")).collect()
+        for r in sorted(doubt, key=lambda r: r["first"]):
+            if created.get(r["normal"], r["first"]) >= r["first"]:
+                created[r["fallback"]] = min(created.get(r["fallback"], r["first"]), r["first"])
+        before = F.create_map(*[F.lit(x) for kv in created.items() for x in kv]) if created else None
+        moved = moved.withColumn("up", F.try_element_at(before, F.col("normal"))).where("up is null or up >= id").drop("up") if created else moved
     return kept.unionByName(moved.withColumn("topic", F.col("fallback"))).select("id", "article_id", "topic", "raw", "specific", *DIMENSIONS)
 
 
@@ -64,6 +67,12 @@ def as_maps(long: DataFrame) -> DataFrame:
     return by.groupBy("topic").agg(*[F.first(F.when(F.col("dimension") == d, F.col("m")), ignorenulls=True).alias(f"{d}_distribution") for d in DIMENSIONS])
 
 
+def placed_articles(rows: DataFrame, built: DataFrame) -> DataFrame:
+    """(topic_id, article_id), distinct, of assigned() under the topics of build_topics()."""
+    t = built.select("topic_id", F.col("normalized_name").alias("topic"))
+    return rows.join(t, "topic").select("topic_id", "article_id").distinct()
+
+
 def name_words(c: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != ""))
 
@@ -141,13 +150,14 @@ def overlap_edges(topic_articles: DataFrame, least: int = 1) -> DataFrame:
     return out.select("source_id", "target_id", "shared", (F.col("shared") / (F.col("ns") + F.col("nt") - F.col("shared"))).alias("weight"))
 
 
-def prerequisite_edges(enrichment: DataFrame, topics: DataFrame, least: int = 1) -> DataFrame:
+def prerequisite_edges(enrichment: DataFrame, topics: DataFrame, least: int = 1, organisation: tuple[str, str] = rules.ORGANISATION) -> DataFrame:
     """(source_id, target_id, mentions, weight): source is named as a prerequisite by articles of target; loops are kept.
 
     Mentions are counted by the raw pair of names first, so names are normalised once and hot topics shrink before the joins.
     """
     raw = enrichment.select("canonical_topic", F.explode("prerequisites").alias("prerequisite")).groupBy("canonical_topic", "prerequisite").agg(F.count("*").alias("n"))
-    raw = raw.select(normalized_topic(F.col("canonical_topic")).alias("target_name"), normalized_topic(F.col("prerequisite")).alias("source_name"), "n")
+    normal = lambda c: normalized_topic(F.col(c), organisation=organisation)
+    raw = raw.select(normal("canonical_topic").alias("target_name"), normal("prerequisite").alias("source_name"), "n")
     t = topics.select("id", "normalized_name")
     out = raw.join(t.select(F.col("id").alias("target_id"), F.col("normalized_name").alias("target_name")), "target_name")
     out = out.join(t.select(F.col("id").alias("source_id"), F.col("normalized_name").alias("source_name")), "source_name")
@@ -217,43 +227,96 @@ def cosine(a: Column, b: Column) -> Column:
 
 def profile_similarity(pairs: DataFrame, topics: DataFrame) -> DataFrame:
     """(source_id, target_id, similarity) of the topic pairs given: 0.5 audience, 0.3 intent, 0.2 complexity."""
-    maps = {"audience": 0.5, "intent": 0.3, "complexity": 0.2}
-    side = lambda p: topics.select(F.col("id").alias(f"{p}_id"), *[F.col(f"{m}_distribution").alias(f"{p}_{m}") for m in maps])
+    side = lambda p: topics.select(F.col("id").alias(f"{p}_id"), *[F.col(f"{m}_distribution").alias(f"{p}_{m}") for m in PROFILE_WEIGHTS])
     both = pairs.join(side("source"), "source_id").join(side("target"), "target_id")
-    score = sum((cosine(F.col(f"source_{m}"), F.col(f"target_{m}")) * w for m, w in maps.items()), F.lit(0.0))
+    score = sum((cosine(F.col(f"source_{m}"), F.col(f"target_{m}")) * w for m, w in PROFILE_WEIGHTS.items()), F.lit(0.0))
     return both.select("source_id", "target_id", score.alias("similarity"))
 
 
-def related_by_profile(topics: DataFrame, edges: DataFrame, least: float = 0.7) -> DataFrame:
-    """(source_id, target_id, similarity), lower id first: all topic pairs of at least so similar profiles that no edge relates yet.
+#: Profiles in a block of the search by profile.
+PROFILE_BLOCK = 5_000
+
 
-    Equal profiles are compared once; profiles meet by a product of partitions, and topics only where their profiles are similar.
+def similar_profiles(topics: DataFrame, asked: DataFrame, least: float = 0.7) -> DataFrame:
+    """(source_id, target_id, similarity): for each topic of `asked` (id) all other topics whose profiles are at least so similar.
+
+    Equal profiles are compared once. The asked profiles and all profiles are cut into blocks; a task compares a block with
+    another, and topics meet only where their profiles are similar.
     """
     maps = [f"{d}_distribution" for d in DIMENSIONS]
     keyed = topics.select("id", *maps, F.struct(*[F.array_sort(F.map_entries(m)).alias(m) for m in maps]).alias("key"))
     profiles = written(keyed.groupBy("key").agg(F.min("id").alias("profile")), "profiles")
     member = written(keyed.join(profiles, keyed.key.eqNullSafe(profiles.key)).select("profile", keyed.id.alias("topic"), *maps), "members")
-    one = member.where("profile = topic").select(F.col("profile").alias("id"), *maps)
-    pairs = one.select(F.col("id").alias("source_id")).crossJoin(one.select(F.col("id").alias("target_id"))).where("source_id <= target_id")
-    similar = written(profile_similarity(pairs, one).where(F.round("similarity", 9) >= least), "similar")
-    x, y = member.select(F.col("profile").alias("source_id"), F.col("topic").alias("x")), member.select(F.col("profile").alias("target_id"), F.col("topic").alias("y"))
-    met = similar.join(x, "source_id").join(y, "target_id").where("source_id < target_id or x < y")
-    met = met.select(F.least("x", "y").alias("source_id"), F.greatest("x", "y").alias("target_id"), "similarity")
-    known = edges.select(F.least("source_id", "target_id").alias("source_id"), F.greatest("source_id", "target_id").alias("target_id")).distinct()
-    return met.join(known, ["source_id", "target_id"], "left_anti")
+    one = member.where("profile = topic").drop("topic")
+    questions = written(member.select("profile", F.col("topic").alias("id")).join(asked.select("id"), "id", "left_semi"), "asked")
+    wanted = one.join(questions.select("profile"), "profile", "left_semi")
+    blocks = max(1, -(-one.count() // PROFILE_BLOCK))
+    asked_blocks = max(1, -(-wanted.count() // PROFILE_BLOCK))
+    place = lambda n: F.pmod(F.xxhash64("profile"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    side = lambda df, p: df.select("i", "j", F.col("profile").alias(f"{p}_id"), *[F.col(m).alias(f"{p}_{m}") for m in maps])
+    x = side(wanted.withColumn("i", place(asked_blocks)).withColumn("j", every(blocks)), "source")
+    y = side(one.withColumn("j", place(blocks)).withColumn("i", every(asked_blocks)), "target")
+    score = sum((cosine(F.col(f"source_{d}_distribution"), F.col(f"target_{d}_distribution")) * w for d, w in PROFILE_WEIGHTS.items()), F.lit(0.0))
+    similar = written(x.join(y, ["i", "j"]).select("source_id", "target_id", score.alias("similarity")).where(F.round("similarity", 9) >= least), "similar")
+    a = questions.select(F.col("profile").alias("source_id"), F.col("id").alias("x"))
+    b = member.select(F.col("profile").alias("target_id"), F.col("topic").alias("y"))
+    return similar.join(a, "source_id").join(b, "target_id").where("x <> y").select(F.col("x").alias("source_id"), F.col("y").alias("target_id"), "similarity")
+
+
+def related_by_profile(topics: DataFrame, edges: DataFrame, asked: DataFrame, least: float = 0.7) -> DataFrame:
+    """similar_profiles() without the pairs that an edge of `edges` (source_id, target_id) relates already, in either direction."""
+    known = edges.select("source_id", "target_id").union(edges.select("target_id", "source_id")).distinct()
+    return similar_profiles(topics, asked, least).join(known, ["source_id", "target_id"], "left_anti")
+
+
+def _rarest(each: DataFrame, keep: Column) -> DataFrame:
+    """Rows (id, word, size, ...) of `each` of the `keep` rarest words of each id."""
+    freq = each.groupBy("word").agg(F.count("*").alias("df"))
+    order = F.row_number().over(Window.partitionBy("id").orderBy("df", "word"))
+    return each.join(freq, "word").withColumn("place", order).where(F.col("place") <= keep).drop("place", "df")
+
+
+def _overlapping(few: DataFrame, many: DataFrame, share: float, least_of: str) -> DataFrame:
+    """(a, b) of the rows of `few` and `many` (id, words) whose common words are at least `share` of a's, or of the smaller side's, words.
+
+    Names meet by their rarer words only: of n words, at least one of the n - need + 1 rarest must be common.
+    """
+    need = lambda n: F.ceil(F.lit(share) * n - 1e-9)
+    each = lambda df: df.select("id", "words", F.size("words").alias("size"), F.explode("words").alias("word"))
+    x = _rarest(each(few), F.col("size") - need(F.col("size")) + 1)
+    met = x.select(F.col("id").alias("a"), F.col("words").alias("aw"), "word").join(each(many).select(F.col("id").alias("b"), F.col("words").alias("bw"), "word"), "word")
+    if least_of == "either":
+        y = _rarest(each(many), F.col("size") - need(F.col("size")) + 1)
+        other = each(few).select(F.col("id").alias("a"), F.col("words").alias("aw"), "word").join(y.select(F.col("id").alias("b"), F.col("words").alias("bw"), "word"), "word")
+        met = met.unionByName(other)
+    size = F.size("aw") if least_of == "a" else F.least(F.size("aw"), F.size("bw"))
+    return met.where(F.size(F.array_intersect("aw", "bw")) / size >= share).select("a", "b").distinct()
 
 
 def suggest_merges(topics: DataFrame, least: int = 3) -> DataFrame:
-    """(topic_id, target_id, score): for topics of fewer than `least` articles, the best larger topic that shares a word.
+    """(topic_id, target_id, score): for topics of fewer than `least` articles, the best larger topic, else the longest similar small one.
 
-    10 if one name holds the other, 5 if 60 % of the small topic's words are shared, else 2; ties go to the lower id.
-    Names are met by the words they share, so names that hold each other without sharing a word are no candidates.
+    10 if one name holds the other, 5 if 60 % of the small topic's words are shared, 2 if any is; ties go to the lower id. A
+    topic without such a target is grouped with the small topics that share half of the words of the shorter name (score 1):
+    all of them but the longest, the lowest id among equals, are to be merged into that one.
     """
-    t = topics.select("id", F.lower("normalized_name").alias("name"), name_words(F.col("normalized_name")).alias("words"), (F.col("total_articles") < least).alias("low")).where("size(words) > 0")
-    each = t.select("*", F.explode("words").alias("word"))
-    low = each.where("low").select(F.col("id").alias("topic_id"), F.col("name").alias("n"), F.size("words").alias("size"), "word")
-    high = each.where("not low").select(F.col("id").alias("target_id"), F.col("name").alias("m"), "word")
-    met = low.join(high, "word").groupBy("topic_id", "target_id").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.first("size").alias("size"), F.count("*").alias("shared"))
-    score = F.when(F.col("n").contains(F.col("m")) | F.col("m").contains(F.col("n")), 10).when(F.col("shared") / F.col("size") >= 0.6, 5).otherwise(2)
-    best = met.groupBy("topic_id").agg(F.max(F.struct(score.alias("score"), (-F.col("target_id")).alias("neg"))).alias("b"))
-    return best.select("topic_id", (-F.col("b.neg")).alias("target_id"), "b.score")
+    t = topics.select("id", F.lower("normalized_name").alias("name"), name_words(F.col("normalized_name")).alias("words"), (F.col("total_articles") < least).alias("low"))
+    t = written(t.where("name <> ''"), "names")
+    low, high = t.where("low"), t.where("not low")
+    a, b = low.select(F.col("id").alias("a"), "name"), high.select(F.col("id").alias("b"), "name")
+    held = holding(a, b).union(holding(b.select(F.col("b").alias("a"), "name"), a.select(F.col("a").alias("b"), "name")).select(F.col("b").alias("a"), F.col("a").alias("b")))
+    worded = t.where("size(words) > 0")
+    most = _overlapping(worded.where("low").select("id", "words"), worded.where("not low").select("id", "words"), 0.6, "a")
+    # any shared word: the lowest id of each word is enough
+    word = lambda df: df.select("id", F.explode("words").alias("word"))
+    first = word(worded.where("not low")).groupBy("word").agg(F.min("id").alias("b"))
+    some = word(worded.where("low")).join(first, "word").groupBy(F.col("id").alias("a")).agg(F.min("b").alias("b"))
+    scored = held.withColumn("score", F.lit(10)).unionByName(most.withColumn("score", F.lit(5))).unionByName(some.withColumn("score", F.lit(2)))
+    best = written(scored.groupBy("a").agg(F.max(F.struct("score", (-F.col("b")).alias("neg"))).alias("m")).select(F.col("a").alias("topic_id"), (-F.col("m.neg")).alias("target_id"), "m.score"), "merges")
+    alone = worded.where("low").join(best.select(F.col("topic_id").alias("id")), "id", "left_anti").select("id", "words")
+    near = _overlapping(alone, worded.where("low").select("id", "words"), 0.5, "either").where("a <> b")
+    group = near.union(near.select("a", F.col("a").alias("b"))).distinct()
+    longest = group.join(t.select(F.col("id").alias("b"), F.length("name").alias("size")), "b").groupBy("a").agg(F.max(F.struct("size", (-F.col("b")).alias("neg"))).alias("m")).select("a", (-F.col("m.neg")).alias("target_id"))
+    small = group.join(longest, "a").where("b <> target_id").select(F.col("b").alias("topic_id"), "target_id", F.lit(1).alias("score")).distinct()
+    return best.unionByName(small)

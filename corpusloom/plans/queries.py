@@ -19,6 +19,7 @@ from corpusloom.operators import reports as RP
 from corpusloom.operators import structure as S
 from corpusloom.operators import topics as T
 from corpusloom.plans import sql as Q
+from corpusloom.session import written
 from corpusloom.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -315,38 +316,53 @@ def topic_appendix(t):
 
 @query("with " + Q.normalized("article_enrichment", "id", "canonical_topic") + " select id, norm as topic from norm")
 def normalize_topic(t):
-    return t.article_enrichment.select("id", normalized_topic(F.col("canonical_topic")).alias("topic"))
+    return t.article_enrichment.select("id", normalized_topic(F.col("canonical_topic"), organisation=Q.ORGANISATION).alias("topic"))
 
 
 @query("with " + Q.normalized("article_enrichment", "id", "canonical_topic") + ", " + Q.categories("norm", "norm") + " select topic, fallback from cat")
 def fallback_topic(t):
-    return t.article_enrichment.select(normalized_topic(F.col("canonical_topic")).alias("topic")).distinct().select("topic", fallback_category(F.col("topic")).alias("fallback"))
+    return t.article_enrichment.select(normalized_topic(F.col("canonical_topic"), organisation=Q.ORGANISATION).alias("topic")).distinct().select("topic", fallback_category(F.col("topic")).alias("fallback"))
 
 
 @query(f"with {Q.TOPICS_BUILT} select topic_id, normalized_name, name, total_articles from built")
 def build_topics(t):
-    return T.build_topics(T.assigned(t.article_enrichment))
+    return T.build_topics(_assigned(t))
+
+
+def _assigned(t):
+    return T.assigned(t.article_enrichment, organisation=Q.ORGANISATION)
+
+
+def _graph(t):
+    """The built topics (id, normalized_name, total_articles) and their articles."""
+    rows = written(_assigned(t), "rows")
+    built = written(T.build_topics(rows), "built")
+    return built.withColumnRenamed("topic_id", "id"), T.placed_articles(rows, built)
 
 
 @query(f"with {Q.ASSIGNED}, u as (select topic, 'intent' as dimension, intent as value from assigned union all select topic, 'complexity', complexity from assigned union all select topic, 'audience', audience from assigned) select topic, dimension, value, count(*) as n from u where value <> '' group by 1, 2, 3")
 def topic_distributions(t):
-    return T.distributions(T.assigned(t.article_enrichment))
+    return T.distributions(_assigned(t))
 
 
 @query(
     f"with {Q.TOPICS_BUILT}, u as (select normalized_name, total_articles from built union all select normalized_name, total_articles from topics where normalized_name not in (select normalized_name from built)) select * from u"
 )
 def upsert_topics(t):
-    built = T.build_topics(T.assigned(t.article_enrichment)).select("normalized_name", "total_articles", F.lit(0).alias("_order"))
+    built = T.build_topics(_assigned(t)).select("normalized_name", "total_articles", F.lit(0).alias("_order"))
     return A.upsert_latest(t.topics.select("normalized_name", "total_articles", F.lit(0).alias("_order")), built, ["normalized_name"], "_order").drop("_order")
 
 
-@query(f"with {Q.WORDS} select p.id as source_id, c.id as target_id, len(p.words) * 1.0 / len(c.words) as weight from tw p, tw c where p.id < c.id and len(p.words) < len(c.words) and len(p.words) > 0 and list_has_all(c.words, p.words)")
+_SUBSETS = "from tw p, tw c where p.id < c.id and len(p.words) < len(c.words) and len(p.words) > 0 and list_has_all(c.words, p.words)"
+
+
+@query(f"with {Q.TOPICS_BUILT}, {Q.BUILT_WORDS} select p.id as source_id, c.id as target_id, len(p.words) * 1.0 / len(c.words) as weight {_SUBSETS}")
 def subtopic_edges(t):
-    return T.subtopic_edges(t.topics)
+    return T.subtopic_edges(_graph(t)[0])
 
 
-_MATRIX = Q.LINKED + ", mat as (select a.topic_id as s, b.topic_id as t, count(*) as n, count(distinct source_id) as sources from fl join sa a on a.article_id = source_id join fa b on b.article_id = target_id where a.topic_id <> b.topic_id group by 1, 2)"
+_MAT = ", mat as (select a.topic_id as s, b.topic_id as t, count(*) as n, count(distinct source_id) as sources from fl join sa a on a.article_id = source_id join fa b on b.article_id = target_id where a.topic_id <> b.topic_id group by 1, 2)"
+_MATRIX = Q.LINKED + _MAT
 
 
 @query(
@@ -364,37 +380,39 @@ def cooccurrence_edges(t):
 
 
 @query(
-    "with d as (select distinct topic_id, article_id from topic_articles), c as (select topic_id, count(*) as n from d group by 1), p as (select a.topic_id as s, b.topic_id as t, count(*) as shared from d a join d b on a.article_id = b.article_id and a.topic_id < b.topic_id group by 1, 2) "
+    f"with {Q.TOPICS_BUILT}, {Q.PLACED}, c as (select topic_id, count(*) as n from ta group by 1), p as (select a.topic_id as s, b.topic_id as t, count(*) as shared from ta a join ta b on a.article_id = b.article_id and a.topic_id < b.topic_id group by 1, 2) "
     "select s as source_id, t as target_id, shared, shared * 1.0 / (x.n + y.n - shared) as weight from p join c x on x.topic_id = s join c y on y.topic_id = t"
 )
 def article_overlap_edges(t):
-    return T.overlap_edges(t.topic_articles)
+    return T.overlap_edges(_graph(t)[1])
 
 
 _PREREQ = (
     Q.normalized("article_enrichment", "id, prerequisites", "canonical_topic", "a1")
     + ", pr as (select norm as target_name, unnest(prerequisites) as p from a1), "
     + Q.normalized("pr", "target_name", "p", "a2")
-    + ", pe as (select s.id as source_id, x.id as target_id, count(*) as mentions from a2 join topics s on s.normalized_name = a2.norm join topics x on x.normalized_name = target_name group by 1, 2)"
+    + ", pe as (select s.topic_id as source_id, x.topic_id as target_id, count(*) as mentions from a2 join built s on s.normalized_name = a2.norm join built x on x.normalized_name = target_name group by 1, 2)"
 )
 
 
-@query(f"with {_PREREQ} select source_id, target_id, mentions, least(mentions / 5.0, 1.0) as weight from pe")
+@query(f"with {Q.TOPICS_BUILT}, {_PREREQ} select source_id, target_id, mentions, least(mentions / 5.0, 1.0) as weight from pe")
 def prerequisite_edges(t):
-    return T.prerequisite_edges(t.article_enrichment, t.topics)
+    return T.prerequisite_edges(t.article_enrichment, _graph(t)[0], organisation=Q.ORGANISATION)
 
 
 @query(
-    f"with {_PREREQ}, {_MATRIX}, {Q.WORDS}, u as (select p.id as source_id, c.id as target_id, 'subtopic_of' as relation, round(len(p.words) * 1.0 / len(c.words), 6) as weight, 0 as support, 0 as family from tw p, tw c where p.id < c.id and len(p.words) < len(c.words) and len(p.words) > 0 and list_has_all(c.words, p.words) "
+    f"with {Q.TOPICS_BUILT}, {_PREREQ}, {Q.BUILT_LINKED}{_MAT}, {Q.BUILT_WORDS}, u as (select p.id as source_id, c.id as target_id, 'subtopic_of' as relation, round(len(p.words) * 1.0 / len(c.words), 6) as weight, 0 as support, 0 as family from tw p, tw c where p.id < c.id and len(p.words) < len(c.words) and len(p.words) > 0 and list_has_all(c.words, p.words) "
     "union all select source_id, target_id, 'prerequisite_of', round(least(mentions / 5.0, 1.0), 6), mentions, 1 from pe union all select s, t, 'related_to', round(least(n / 10.0, 1.0), 6), n, 2 from mat m where n >= 3 and not exists (select 1 from mat o where o.n >= 3 and o.s = m.t and o.t = m.s and o.s < m.s)), "
     "f as (select * from u where family < 2 union all select * from u r where family = 2 and not exists (select 1 from u x where x.family < 2 and ((x.source_id = r.source_id and x.target_id = r.target_id) or (x.source_id = r.target_id and x.target_id = r.source_id)))) "
     "select source_id, target_id, relation, weight, cast(support as bigint) as support from f"
 )
 def topic_relationships(t):
-    sub = T.subtopic_edges(t.topics).select("source_id", "target_id", F.lit("subtopic_of").alias("relation"), F.round("weight", 6).alias("weight"), F.lit(0).cast("bigint").alias("support"))
-    pre = T.prerequisite_edges(t.article_enrichment, t.topics).select("source_id", "target_id", F.lit("prerequisite_of").alias("relation"), F.round("weight", 6).alias("weight"), F.col("mentions").alias("support"))
+    topics, placed = _graph(t)
+    placed = written(placed, "placed")
+    sub = T.subtopic_edges(topics).select("source_id", "target_id", F.lit("subtopic_of").alias("relation"), F.round("weight", 6).alias("weight"), F.lit(0).cast("bigint").alias("support"))
+    pre = T.prerequisite_edges(t.article_enrichment, topics, organisation=Q.ORGANISATION).select("source_id", "target_id", F.lit("prerequisite_of").alias("relation"), F.round("weight", 6).alias("weight"), F.col("mentions").alias("support"))
     both = sub.unionByName(pre)
-    rel = T.link_pattern_edges(t.links, t.topic_articles, both).select("source_id", "target_id", F.lit("related_to").alias("relation"), F.round("weight", 6).alias("weight"), F.col("link_count").alias("support"))
+    rel = T.link_pattern_edges(t.links, placed, both).select("source_id", "target_id", F.lit("related_to").alias("relation"), F.round("weight", 6).alias("weight"), F.col("link_count").alias("support"))
     return T.upsert_relationships([sub, pre, rel])
 
 
@@ -454,17 +472,28 @@ def profile_similarity(t):
     return T.profile_similarity(pairs, t.topics).select("source_id", "target_id", F.round("similarity", 6).alias("similarity"))
 
 
-@query(
-    f"with {Q.EDGES}, p as (select a.id as source_id, b.id as target_id, 0.5 * {_cos('audience')} + 0.3 * {_cos('intent')} + 0.2 * {_cos('complexity')} as similarity from topics a join topics b on a.id < b.id) "
-    "select source_id, target_id, round(similarity, 6) as similarity from p anti join (select least(s, t) as source_id, greatest(s, t) as target_id from ed) using (source_id, target_id) where round(similarity, 9) >= 0.7"
-)
+_SIMILAR = f"p as (select a.id as source_id, b.id as target_id, 0.5 * {_cos('audience')} + 0.3 * {_cos('intent')} + 0.2 * {_cos('complexity')} as similarity from topics a join topics b on a.id <> b.id where a.id % 100 = 0)"
+
+
+def _asked(t):
+    return t.topics.where("id % 100 = 0").select("id")
+
+
+@query(f"with {_SIMILAR} select source_id, target_id, round(similarity, 6) as similarity from p where round(similarity, 9) >= 0.7")
+def similar_profiles(t):
+    return T.similar_profiles(t.topics, _asked(t)).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(f"with {Q.EDGES}, {_SIMILAR} select source_id, target_id, round(similarity, 6) as similarity from p anti join (select s as source_id, t as target_id from ed union select t, s from ed) using (source_id, target_id) where round(similarity, 9) >= 0.7")
 def related_by_profile(t):
-    return T.related_by_profile(t.topics, T.known_edges(t.topic_relationships, t.topics)).withColumn("similarity", F.round("similarity", 6))
+    return T.related_by_profile(t.topics, T.known_edges(t.topic_relationships, t.topics), _asked(t)).withColumn("similarity", F.round("similarity", 6))
 
 
 @query(
-    f"with {Q.WORDS}, p as (select l.id as topic_id, h.id as target_id, case when contains(l.name, h.name) or contains(h.name, l.name) then 10 when len(list_intersect(l.words, h.words)) * 1.0 / len(l.words) >= 0.6 then 5 else 2 end as score "
-    "from tw l, tw h where l.total_articles < 3 and h.total_articles >= 3 and len(list_intersect(l.words, h.words)) > 0) select topic_id, target_id, score from (select *, row_number() over (partition by topic_id order by score desc, target_id) as r from p) where r = 1"
+    f"with {Q.WORDS}, lo as (select * from tw where total_articles < 3 and name <> ''), hi as (select * from tw where total_articles >= 3 and name <> ''), p as (select l.id as topic_id, h.id as target_id, case when contains(l.name, h.name) or contains(h.name, l.name) then 10 when len(list_intersect(l.words, h.words)) * 1.0 / len(l.words) >= 0.6 then 5 else 2 end as score "
+    "from lo l, hi h where len(list_intersect(l.words, h.words)) > 0 or contains(l.name, h.name) or contains(h.name, l.name)), best as (select topic_id, target_id, score from (select *, row_number() over (partition by topic_id order by score desc, target_id) as r from p) where r = 1), "
+    "g as (select l.id as a, m.id as b, length(m.name) as size from lo l, lo m where l.id not in (select topic_id from best) and (l.id = m.id or len(list_intersect(l.words, m.words)) * 1.0 / least(len(l.words), len(m.words)) >= 0.5)), "
+    "c as (select a, arg_max(b, size * 1000000000 - b) as target_id from g group by 1 having count(*) > 1) select * from best union all (select distinct b, target_id, 1 from g join c using (a) where b <> target_id)"
 )
 def suggest_merges(t):
     return T.suggest_merges(t.topics)
@@ -498,22 +527,36 @@ def issue_summary(t):
     return S.issues(T.known_edges(t.topic_relationships, t.topics), t.topics).groupBy("issue", "severity").agg(F.count("*").alias("n"))
 
 
-@query(f"with {Q.ADJACENT} select a.topic_id, 3.0 * total_articles + 2.0 * indegree - 10.0 * outgoing - 5.0 * prerequisite_count + 1.5 * incoming as score, total_articles from adj a join topics on id = topic_id where total_articles >= 3 order by 2 desc, 3 desc, 1 limit 10")
+@query(f"with {Q.SCORED} select * from score order by score desc, total_articles desc, topic_id limit 10")
 def top_level_topics(t):
     return S.top_level(T.known_edges(t.topic_relationships, t.topics), t.topics).orderBy(F.desc("score"), F.desc("total_articles"), "topic_id").limit(10)
 
 
-@query()
+@query(f"with {Q.TREE} select * from tree")
 def auto_sidebar(t):
     return S.auto_sidebar(T.known_edges(t.topic_relationships, t.topics), t.topics)
 
 
+@query(f"with {Q.TREE} select root_id, count(*) as nodes, max(depth) as deepest from tree group by rollup (root_id)")
+def tree_node_counts(t):
+    return S.tree_counts(S.auto_sidebar(T.known_edges(t.topic_relationships, t.topics), t.topics))
+
+
 def _entries(t):
     return t.topic_catalog.where("category is not null").select("category", F.col("name").alias("entry"))
 
 
 def _built(t):
-    return T.build_topics(T.assigned(t.article_enrichment))
+    return T.build_topics(_assigned(t))
+
+
+def _keywords(t):
+    return t.topic_catalog.where("category is not null").select("category", F.explode(F.split(F.lower("name"), " ")).alias("keyword"))
+
+
+def _sidebar(t):
+    topics, placed = _graph(t)
+    return S.sidebar(_entries(t), topics.withColumnRenamed("id", "topic_id"), S.keyword_counts(_keywords(t), t.articles, placed))
 
 
 @query(f"with {Q.MATCHED} select category, entry, topic_id, case when kind = 1 then 'exact' else 'fuzzy' end as kind from matched")
@@ -523,26 +566,22 @@ def sidebar_topic_match(t):
 
 @query(f"with {Q.SIDEBAR} select category, entry, topic_id, article_count, category_count, cast(place as integer) as place from side")
 def sidebar_tree(t):
-    return S.sidebar(_entries(t), _built(t))
+    return _sidebar(t)
 
 
 @query(f"with {Q.SIDEBAR} select category, cast(sum(article_count) as bigint) as articles, count(*) as entries from side group by 1")
 def sidebar_categories(t):
-    return S.sidebar(_entries(t), _built(t)).groupBy("category").agg(F.sum("article_count").alias("articles"), F.count("*").alias("entries"))
+    return _sidebar(t).groupBy("category").agg(F.sum("article_count").alias("articles"), F.count("*").alias("entries"))
 
 
 @query(f"with {Q.SIDEBAR} select category, cast(sum(article_count) as bigint) as articles from side group by 1 order by 2 desc, 1 limit 3")
 def largest_sections(t):
-    return S.sidebar(_entries(t), _built(t)).groupBy("category").agg(F.sum("article_count").alias("articles")).orderBy(F.desc("articles"), "category").limit(3)
-
-
-_KEYWORDS = "kw as (select distinct category, unnest(string_split(lower(name), ' ')) as keyword from topic_catalog where category is not null)"
+    return _sidebar(t).groupBy("category").agg(F.sum("article_count").alias("articles")).orderBy(F.desc("articles"), "category").limit(3)
 
 
-@query(f"with {_KEYWORDS} select distinct category, id as article_id from articles, kw where contains(lower(title), keyword) and keyword <> ''")
+@query(f"with {Q.KEYWORDS} select distinct category, id as article_id from articles, kw where contains(lower(title), keyword) and keyword <> ''")
 def keyword_articles(t):
-    words = t.topic_catalog.where("category is not null").select("category", F.explode(F.split(F.lower("name"), " ")).alias("keyword"))
-    return S.keyword_articles(words, t.articles)
+    return S.keyword_articles(_keywords(t), t.articles)
 
 
 # crawl
@@ -648,7 +687,7 @@ def enrichment_outcome(t):
 
 @query()
 def sidebar_json(t):
-    return RP.sidebar_json(S.sidebar(_entries(t), _built(t)))
+    return RP.sidebar_json(_sidebar(t))
 
 
 @query()
@@ -658,7 +697,7 @@ def issues_json(t):
 
 @query()
 def report_markdown(t):
-    return RP.markdown(t.topics, S.issues(T.known_edges(t.topic_relationships, t.topics), t.topics), S.sidebar(_entries(t), _built(t)))
+    return RP.markdown(t.topics, S.issues(T.known_edges(t.topic_relationships, t.topics), t.topics), _sidebar(t))
 
 
 # problem 7

@@ -5,6 +5,10 @@ from __future__ import annotations
 from corpusloom.functions import rules
 
 
+#: The organisation of the test tables, long and short form.
+ORGANISATION = ("veldmark institute", "veldmark")
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -20,7 +24,7 @@ def normalized(source: str, columns: str, raw: str, name: str = "norm") -> str:
     t = f"regexp_replace({t}, '\\s+my\\s+', ' ', 'g')"
     t = _strip(f"regexp_replace({t}, '\\s*\\([^)]+\\)\\s*', ' ', 'g')")
     rest = "t"
-    long, short = rules.ORGANISATION[0].replace(" ", "\\s+"), rules.ORGANISATION[1]
+    long, short = ORGANISATION[0].replace(" ", "\\s+"), ORGANISATION[1]
     for p, to in ((f"\\bat\\s+{long}\\b", ""), (f"\\b{long}\\b", ""), (f"\\bat\\s+{short}\\b", ""), (f"^{short}\\s+", ""), (f"\\s+{short}$", ""), (f"\\s+{short}\\s+", " "), (f"\\s+on\\s+{short}\\b", "")):
         rest = f"regexp_replace({rest}, '{p}', '{to}', 'g')"
     rest = f"regexp_replace({_strip(rest)}, ' ({'|'.join(rules.SUFFIXES)})$', '')"
@@ -80,11 +84,25 @@ MIXED = """mx as (select id, list_sum(map_values(intent_distribution)) as total,
 ISSUES = ADJACENT + ", " + MIXED + """, iss as (select topic_id, 'orphan' as issue, 'medium' as severity from adj where incoming = 0 and outgoing = 0 and related = 0
   union all select id, 'overloaded', case when total_articles > 100 then 'high' else 'medium' end from topics where total_articles > 50
   union all select id, 'mixed_intent', 'low' from mx where n >= 2 and total >= 5 and top < 0.7 * total)"""
+BUILT_WORDS = "tw as (select topic_id as id, lower(normalized_name) as name, list_distinct([w for w in string_split_regex(lower(normalized_name), '\\s+') if w <> '']) as words, total_articles from built)"
+PLACED = "ta as (select distinct topic_id, article_id from assigned join built on normalized_name = topic)"
+BUILT_LINKED = PLACED + ", fl as (select distinct source_id, target_id from links), sa as (select article_id, topic_id from ta), fa as (select article_id, min(topic_id) as topic_id from ta group by 1)"
 WORDS = "tw as (select id, lower(normalized_name) as name, list_distinct([w for w in string_split_regex(lower(normalized_name), '\\s+') if w <> '']) as words, total_articles from topics)"
 MATCHED = TOPICS_BUILT + """, ent as (select distinct category, name as entry, lower(name) as low from topic_catalog where category is not null),
 match_ as (select category, entry, topic_id, total_articles, case when low = lower(normalized_name) then 1 else 2 end as kind from ent, built
-  where low = lower(normalized_name) or ((contains(lower(normalized_name), low) or contains(low, lower(normalized_name)))
-    and len(list_intersect([w for w in string_split_regex(low, '\\s+') if w <> ''], [w for w in string_split_regex(lower(normalized_name), '\\s+') if w <> ''])) > 0)),
+  where low = lower(normalized_name) or contains(lower(normalized_name), low) or contains(low, lower(normalized_name))),
 matched as (select * from (select *, row_number() over (partition by category, entry order by kind, total_articles desc, topic_id) as r from match_) where r = 1)"""
-SIDEBAR = MATCHED + """, side as (select category, entry, topic_id, total_articles as article_count, cast(sum(total_articles) over (partition by category) as bigint) as category_count,
-  row_number() over (partition by category order by total_articles desc, topic_id, entry) as place from matched where total_articles > 0)"""
+KEYWORDS = "kw as (select distinct category, unnest(string_split(lower(name), ' ')) as keyword from topic_catalog where category is not null)"
+SIDEBAR = MATCHED + ", " + PLACED + ", " + KEYWORDS + """, kc as (select category, count(distinct a.id) as n from articles a, kw where keyword <> '' and contains(lower(title), keyword) and a.id in (select article_id from ta) group by 1),
+nodes as (select category, entry, topic_id, total_articles from matched union all select e.category, e.entry, null, n from ent e join kc using (category) where not exists (select 1 from matched m where m.category = e.category and m.entry = e.entry)),
+side as (select category, entry, topic_id, total_articles as article_count, cast(sum(total_articles) over (partition by category) as bigint) as category_count,
+  row_number() over (partition by category order by total_articles desc, topic_id nulls first, entry) as place from nodes where total_articles > 0)"""
+SCORED = ADJACENT + ", score as (select a.topic_id, 3.0 * total_articles + 2.0 * indegree - 10.0 * incoming - 5.0 * prerequisite_count + 1.5 * outgoing as score, total_articles from adj a join topics on id = topic_id where total_articles >= 3)"
+#: A depth-first walk with a stack of paths, down to the third level, ten children at most.
+TREE = "recursive " + SCORED + """, roots_ as (select topic_id, row_number() over (order by score desc, total_articles desc, topic_id) as r from score),
+kids as (select s as parent, list(t order by r desc) as ids from (select s, t, row_number() over (partition by s order by total_articles desc, t) as r from ed join topics on id = t where rel = 'subtopic_of' and s <> t) where r <= 10 group by 1),
+walk(stack, seen, cur) as (select list([topic_id] order by r desc), cast([] as integer[]), cast(null as integer[]) from roots_ where r <= 10
+  union all select case when hit or len(top) >= 3 then rest else list_concat(rest, coalesce([list_append(top, x) for x in ids], [])) end, case when hit then seen else list_append(seen, top[len(top)]) end, case when hit then null else top end
+  from (select *, list_contains(seen, top[len(top)]) as hit from (select stack[len(stack)] as top, list_slice(stack, 1, len(stack) - 1) as rest, seen from walk where len(stack) > 0)) left join kids on parent = top[len(top)]),
+placed as (select cur, cur[len(cur)] as topic_id, case when len(cur) > 1 then cur[len(cur) - 1] end as parent_id, cur[1] as root_id, len(cur) - 1 as depth, total_articles from walk join topics on id = cur[len(cur)] where cur is not null),
+tree as (select topic_id, parent_id, root_id, cast(depth as integer) as depth, article_count from placed join (select topic_id, cast(sum(total_articles) as bigint) as article_count from (select unnest(cur) as topic_id, total_articles from placed) group by 1) using (topic_id))"""
