@@ -186,9 +186,14 @@ def best_attributes_by_title(articles: DataFrame) -> DataFrame:
     return first.select("title", "canonical_id", *[F.when(full[f], F.col(f)).otherwise(F.coalesce(f"best_{f}", f)).alias(f) for f in fields], F.when(F.col("size").isNull(), F.col("longest_id")).otherwise(F.col("canonical_id")).alias("content_id"))
 
 
+def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The last row of each value of `keys` by `order`."""
+    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))).where("_r = 1").drop("_r")
+
+
 def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Rows of `old` replaced by the last of `new` (by `order`) with the same keys; rows of new keys are added. Idempotent."""
-    last = new.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))).where("_r = 1").drop("_r")
+    last = latest(new, keys, order)
     return old.join(last.select(*keys), keys, "left_anti").unionByName(last, allowMissingColumns=True)
 
 
@@ -243,36 +248,38 @@ def upsert_articles(old: DataFrame, incoming: DataFrame, ingest: str = "ingest_o
     """Incoming articles merged into `old` in three tiers; the last one by ingest order wins each target.
 
     An incoming row updates the article of its key; else the article of its title (if that isn't generic, and the row
-    brings a key the article lacks or content above 100 signs, otherwise the row is dropped); else it is added.
-    Rows of one batch that meet only through each other are reduced in order by their own key or URL.
+    brings a key the article lacks or content above 100 signs, otherwise the row is dropped); else the title, content and key
+    of the article of its URL; else it is added. Rows of one batch that meet only through each other are reduced in order by their own key or URL.
     """
     new = incoming.withColumn("key", F.coalesce(F.nullif("sys_kb_id", F.lit("")), kb_id(F.col("url"))))
     by_key = old.where("sys_kb_id is not null").groupBy("sys_kb_id").agg(F.min("id").alias("key_id")).withColumnRenamed("sys_kb_id", "key")
     by_title = old.where(F.col("title").isNotNull() & ~F.col("title").isin(rules.GENERIC_TITLES) & (F.col("title") != "")).groupBy("title").agg(
         F.min_by(F.struct("id", "sys_kb_id"), "id").alias("same")
     )
-    found = new.join(by_key, "key", "left").join(by_title, "title", "left")
+    by_url = old.where("url is not null").groupBy("url").agg(F.min("id").alias("url_id"))
+    found = new.join(by_key, "key", "left").join(by_title, "title", "left").join(by_url, "url", "left")
     tier = (
         F.when(F.col("key_id").isNotNull(), 1)
         .when(F.col("same.id").isNotNull() & ((F.col("key").isNotNull() & F.col("same.sys_kb_id").isNull()) | (F.length("content") > 100)), 2)
         .when(F.col("same.id").isNotNull(), 0)
+        .when(F.col("url_id").isNotNull(), 4)
         .otherwise(3)
     )
-    found = found.withColumn("tier", tier).where("tier > 0").withColumn("target", F.when(F.col("tier") == 1, F.col("key_id")).when(F.col("tier") == 2, F.col("same.id")))
-    ident = F.coalesce(F.col("target").cast("string"), F.concat(F.lit("k:"), "key"), F.concat(F.lit("u:"), "url"))
+    found = found.withColumn("tier", tier).where("tier > 0").withColumn("target", F.when(F.col("tier") == 1, F.col("key_id")).when(F.col("tier") == 2, F.col("same.id")).when(F.col("tier") == 4, F.col("url_id")))
+    ident = F.coalesce(F.col("target").cast("string"), F.concat(F.lit("k:"), "key"), F.concat(F.lit("u:"), "url"), F.concat(F.lit("r:"), F.col(ingest).cast("string")))
     last = found.withColumn("_r", F.row_number().over(Window.partitionBy(ident).orderBy(F.desc(ingest)))).where("_r = 1")
     top = old.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
     added = numbered(last.where("tier = 3").drop("id"), [ingest, "url"], "id", top + 1)
     payload = [c for c in old.columns if c not in ("id", "url", "sys_kb_id", "title")]
-    updated = old.alias("o").join(last.where("tier < 3").alias("n"), F.col("o.id") == F.col("n.target"))
+    updated = old.alias("o").join(last.where("tier <> 3").alias("n"), F.col("o.id") == F.col("n.target"))
     updated = updated.select(
         "o.id",
         F.when(F.col("n.tier") == 2, F.col("n.url")).otherwise(F.col("o.url")).alias("url"),
-        F.when(F.col("n.tier") == 2, F.coalesce("n.key", "o.sys_kb_id")).otherwise(F.col("o.sys_kb_id")).alias("sys_kb_id"),
+        F.when(F.col("n.tier") == 2, F.coalesce("n.key", "o.sys_kb_id")).when(F.col("n.tier") == 4, F.col("n.key")).otherwise(F.col("o.sys_kb_id")).alias("sys_kb_id"),
         F.when(F.col("n.tier") == 2, F.col("o.title")).otherwise(F.coalesce("n.title", F.lit(""))).alias("title"),
-        *[F.col(f"n.{c}") for c in payload],
+        *[(F.when(F.col("n.tier") == 4, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")) if c != "content" else F.col("n.content")).alias(c) for c in payload],
     )
-    kept = old.join(last.where("tier < 3").select(F.col("target").alias("id")), "id", "left_anti")
+    kept = old.join(last.where("tier <> 3").select(F.col("target").alias("id")), "id", "left_anti")
     return kept.unionByName(updated).unionByName(added.select("id", "url", F.col("key").alias("sys_kb_id"), "title", *payload))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,8 @@ from corpusloom.operators import reports as RP
 from corpusloom.operators import structure as S
 from corpusloom.operators import topics as T
 from corpusloom.plans import sql as Q
-from corpusloom.session import written
+from corpusloom.session import shared_folder, written
+from corpusloom.sources.exports import read_csv, write_csv
 from corpusloom.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +79,24 @@ def lookup_by_key(t):
     return t.articles.join(F.broadcast(last), "sys_kb_id").select("id", "url", "title")  # one row is broadcast
 
 
+@query("select id, title from articles where url = (select max(url) from articles)")
+def lookup_by_url(t):
+    last = t.articles.agg(F.max("url").alias("url"))
+    return t.articles.join(F.broadcast(last), "url").select("id", "title")  # one row is broadcast
+
+
+@query("select id, canonical_topic, intent from article_enrichment where article_id = (select max(article_id) from article_enrichment)")
+def lookup_enrichment(t):
+    last = t.article_enrichment.agg(F.max("article_id").alias("article_id"))
+    return t.article_enrichment.join(F.broadcast(last), "article_id").select("id", "canonical_topic", "intent")  # one row is broadcast
+
+
+@query("select id, name, total_articles from topics where normalized_name = (select min(normalized_name) from topics)")
+def lookup_topic(t):
+    first = t.topics.agg(F.min("normalized_name").alias("normalized_name"))
+    return t.topics.join(F.broadcast(first), "normalized_name").select("id", "name", "total_articles")  # one row is broadcast
+
+
 @query("select id, relationship_type, weight from topic_relationships where source_topic_id = 3 or target_topic_id = 3")
 def topic_relationships_for(t):
     return t.topic_relationships.where((F.col("source_topic_id") == 3) | (F.col("target_topic_id") == 3)).select("id", "relationship_type", "weight")
@@ -131,6 +151,11 @@ def unenriched_articles(t):
     return A.unenriched(t.articles, t.article_enrichment)
 
 
+@query(f"select id, title, url from articles where {Q.VALID} and id not in (select article_id from article_enrichment where article_id is not null) order by id limit 50")
+def next_unenriched(t):
+    return A.unenriched_batch(t.articles, t.article_enrichment, 50)
+
+
 @query("select e.id, article_id, canonical_topic, intent, audience, complexity, title, url from article_enrichment e join articles a on a.id = e.article_id")
 def all_enrichments(t):
     return A.enriched(t.article_enrichment, t.articles)
@@ -214,6 +239,43 @@ def merge_best_attributes_title(t):
     return A.best_attributes_by_title(t.articles)
 
 
+_RUN = (
+    "ll as (select coalesce(a.c, source_id) as source_id, coalesce(b.c, target_id) as target_id from links left join m a on a.d = source_id left join m b on b.d = target_id group by 1, 2), r as (select 'articles' as metric, count(*) as value from kept "
+    "union all select 'titles', count(distinct title) from kept union all select 'numbers', count(distinct number) from kept union all select 'characters', cast(sum(length(content)) as bigint) from kept union all select 'links', count(*) from ll "
+    "union all select 'enrichments', count(*) from article_enrichment where article_id is null or article_id not in (select d from m) union all select 'topic_rows', count(*) from topic_articles where article_id is null or article_id not in (select d from m)) select * from r"
+)
+
+
+def _run(tables):
+    a = tables["articles"]
+    counts = a.agg(F.count("*").alias("articles"), F.countDistinct("title").alias("titles"), F.countDistinct("number").alias("numbers"), F.sum(F.length("content")).alias("characters"))
+    out = counts.unpivot([], counts.columns, "metric", "value")
+    for name, metric in (("links", "links"), ("article_enrichment", "enrichments"), ("topic_articles", "topic_rows")):
+        out = out.unionByName(tables[name].agg(F.lit(metric).alias("metric"), F.count("*").alias("value")))
+    return out
+
+
+@query(
+    f"with {Q.KEY_FIRST}, m as (select id as d, canonical_id as c from kf where id <> canonical_id), v as (select key, arg_min(content, id) filter (where content <> '' and content <> 'Pending') as best_content, "
+    + ", ".join(f"arg_min({f}, id) filter (where {f} <> '' and {f} <> 'Pending') as best_{f}" for f in ("title", "number"))
+    + " from kf group by 1), kept as (select a.id, case when v.key is null or a.content <> '' and a.content <> 'Pending' then a.content else coalesce(best_content, a.content) end as content, "
+    + ", ".join(f"case when v.key is null or a.{f} <> '' and a.{f} <> 'Pending' then a.{f} else coalesce(best_{f}, a.{f}) end as {f}" for f in ("title", "number"))
+    + f" from articles a left join kf on kf.id = a.id left join v on v.key = kf.key where a.id not in (select d from m)), {_RUN}"
+)
+def dedup_key_run(t):
+    return _run(A.deduplicated_by_key(t.articles, t.links, t.article_enrichment, t.topic_articles))
+
+
+@query(
+    f"with {Q.TITLE_FIRST}, m as (select id as d, canonical_id as c from tf where id <> canonical_id), o as (select title, number as v from (select *, row_number() over (partition by title order by updated_at desc nulls first, id) as r from tr where number <> '') where r = 1), "
+    "l as (select title, content as longest from (select *, row_number() over (partition by title order by length(content) desc, updated_at desc nulls first, id) as r from tr where length(content) > 0) where r = 1), "
+    "kept as (select a.id, a.title, coalesce(a.content, longest) as content, case when tf.id is null or a.number <> '' then a.number else coalesce(o.v, a.number) end as number from articles a left join tf on tf.id = a.id left join o on o.title = tf.title left join l on l.title = tf.title where a.id not in (select d from m)), "
+    + _RUN
+)
+def dedup_title_run(t):
+    return _run(A.deduplicated_by_title(t.articles, t.links, t.article_enrichment, t.topic_articles))
+
+
 @query("select id, normalized_name from topics where id not in (select source_topic_id from topic_relationships where source_topic_id is not null union select target_topic_id from topic_relationships where target_topic_id is not null)")
 def isolated_topics(t):
     r = t.topic_relationships
@@ -262,6 +324,11 @@ def duplicate_titles(t):
     return A.duplicate_groups(A.titled(t.articles), "title")
 
 
+@query("select sys_kb_id, count(*) as copies, min(title) as first_title from articles where sys_kb_id is not null group by 1 having count(*) > 1 order by 2 desc, 1 limit 10")
+def top_duplicate_keys(t):
+    return A.duplicate_groups(t.articles.where("sys_kb_id is not null"), "sys_kb_id", "title").orderBy(F.desc("copies"), "sys_kb_id").limit(10)
+
+
 @query("select sys_kb_id, count(*) as copies, min(title) as first_title from articles where sys_kb_id is not null group by 1 having count(*) > 1")
 def duplicate_keys(t):
     return A.duplicate_groups(t.articles.where("sys_kb_id is not null"), "sys_kb_id", "title")
@@ -346,11 +413,13 @@ def topic_distributions(t):
 
 
 @query(
-    f"with {Q.TOPICS_BUILT}, u as (select normalized_name, total_articles from built union all select normalized_name, total_articles from topics where normalized_name not in (select normalized_name from built)) select * from u"
+    f"with {Q.TOPICS_BUILT} select normalized_name, name, total_articles, 0 as indegree, 0 as outdegree, 0 as prerequisite_count from built union all select normalized_name, name, total_articles, indegree, outdegree, prerequisite_count from topics where normalized_name not in (select normalized_name from built)"
 )
 def upsert_topics(t):
-    built = T.build_topics(_assigned(t)).select("normalized_name", "total_articles", F.lit(0).alias("_order"))
-    return A.upsert_latest(t.topics.select("normalized_name", "total_articles", F.lit(0).alias("_order")), built, ["normalized_name"], "_order").drop("_order")
+    zero = [F.lit(0).alias(c) for c in ("indegree", "outdegree", "prerequisite_count")]  # a build knows no edges yet
+    built = T.build_topics(_assigned(t)).select("normalized_name", "name", "total_articles", *zero, F.lit(0).alias("_order"))
+    stored = t.topics.select("normalized_name", "name", "total_articles", "indegree", "outdegree", "prerequisite_count", F.lit(0).alias("_order"))
+    return A.upsert_latest(stored, built, ["normalized_name"], "_order").drop("_order")
 
 
 _SUBSETS = "from tw p, tw c where p.id < c.id and len(p.words) < len(c.words) and len(p.words) > 0 and list_has_all(c.words, p.words)"
@@ -417,11 +486,13 @@ def topic_relationships(t):
 
 
 @query(
-    "select source_topic_id as source_id, target_topic_id as target_id, relation, weight from (select *, lower(trim(relationship_type, ' ')) as relation, row_number() over (partition by source_topic_id, target_topic_id, lower(trim(relationship_type, ' ')) order by id desc) as r from topic_relationships) where r = 1"
+    "select source_topic_id as source_id, target_topic_id as target_id, relation, weight from (select *, lower(trim(relationship_type, ' ')) as relation, row_number() over (partition by source_topic_id, target_topic_id, lower(trim(relationship_type, ' ')) order by coalesce(created_at >= timestamp '2025-01-01', false) desc, id desc) as r from topic_relationships) where r = 1"
 )
 def upsert_relationships(t):
-    rows = t.topic_relationships.select(F.col("source_topic_id").alias("source_id"), F.col("target_topic_id").alias("target_id"), T.relation(F.col("relationship_type")).alias("relation"), "weight", "id")
-    return A.upsert_latest(rows.limit(0), rows, ["source_id", "target_id", "relation"], "id").drop("id")
+    late = F.coalesce(F.col("created_at") >= F.lit("2025-01-01").cast("timestamp_ntz"), F.lit(False)).alias("late")
+    rows = t.topic_relationships.select(F.col("source_topic_id").alias("source_id"), F.col("target_topic_id").alias("target_id"), T.relation(F.col("relationship_type")).alias("relation"), "weight", "id", late)
+    keys = ["source_id", "target_id", "relation"]
+    return A.upsert_latest(A.latest(rows.where("not late"), keys, "id"), rows.where("late"), keys, "id").drop("id", "late")
 
 
 @query(
@@ -429,11 +500,42 @@ def upsert_relationships(t):
 )
 def upsert_enrichment(t):
     rows = t.article_enrichment.where("enriched_at is not null").select("id", "article_id", "canonical_topic", (F.col("enriched_at") >= F.lit("2025-01-01").cast("timestamp_ntz")).alias("late"))
-    stored = A.upsert_latest(rows.limit(0), rows.where("not late"), ["article_id"], "id")
+    stored = A.latest(rows.where("not late"), ["article_id"], "id")
     return A.upsert_latest(stored, rows.where("late"), ["article_id"], "id").drop("late")
 
 
-@query()
+_TOPIC_ROWS = Q.normalized("article_enrichment", "article_id", "canonical_topic", "te")
+
+
+@query(f"with {_TOPIC_ROWS} select topic_id, article_id from topic_articles union all (select x.id, te.article_id from te join topics x on x.normalized_name = te.norm where te.article_id is not null except select topic_id, article_id from topic_articles)")
+def insert_topic_articles(t):
+    named = t.article_enrichment.select("article_id", normalized_topic(F.col("canonical_topic"), organisation=Q.ORGANISATION).alias("normalized_name"))
+    new = named.join(t.topics.select(F.col("id").alias("topic_id"), "normalized_name"), "normalized_name").select("topic_id", "article_id")
+    return A.insert_ignore(t.topic_articles, new, ["topic_id", "article_id"])
+
+
+@query("select id, name, normalized_name, total_articles, coalesce(intent_distribution['how-to'], 0) as how_to, coalesce(len(map_keys(audience_distribution)), -1) as audiences, updated_at from topics")
+def topics_csv_round_trip(t):
+    path = f"{shared_folder(t._spark)}/corpusloom/{t._spark.sparkContext.applicationId}/topics-{uuid.uuid4().hex}"
+    write_csv(t.topics, path)
+    back = read_csv(t._spark, path, "topics")
+    how_to = F.coalesce(F.try_element_at("intent_distribution", F.lit("how-to")), F.lit(0))
+    return back.select("id", "name", "normalized_name", "total_articles", how_to.alias("how_to"), F.coalesce(F.size(F.map_keys("audience_distribution")), F.lit(-1)).alias("audiences"), "updated_at")
+
+
+_GENERIC = ", ".join(map(Q._q, rules.GENERIC_TITLES))
+
+
+@query(
+    f"with old as (select * from articles where coalesce(crawled_at < timestamp '2025-01-01', true)), new as (select *, coalesce(nullif(sys_kb_id, ''), {Q.kb_id('url')}) as key from articles where crawled_at >= timestamp '2025-01-01'), bk as (select sys_kb_id as key, min(id) as key_id from old where sys_kb_id is not null group by 1), "
+    f"bt as (select title, id as same_id, sys_kb_id as same_key from (select *, row_number() over (partition by title order by id) as r from old where title is not null and title <> '' and title not in ({_GENERIC})) where r = 1), bu as (select url, min(id) as url_id from old where url is not null group by 1), "
+    "f as (select n.*, key_id, same_id, url_id, case when key_id is not null then 1 when same_id is not null and ((n.key is not null and same_key is null) or length(content) > 100) then 2 when same_id is not null then 0 when url_id is not null then 4 else 3 end as tier "
+    "from new n left join bk on bk.key = n.key left join bt on bt.title = n.title left join bu on bu.url = n.url), g as (select *, case tier when 1 then key_id when 2 then same_id when 4 then url_id end as target from f where tier > 0), "
+    "la as (select * from (select *, row_number() over (partition by coalesce(cast(target as varchar), 'k:' || key, 'u:' || url, 'r:' || id) order by id desc) as r from g) where r = 1) "
+    "select o.id, case when tier = 2 then la.url else o.url end as url, case when tier = 2 then coalesce(la.key, o.sys_kb_id) when tier = 4 then la.key else o.sys_kb_id end as sys_kb_id, case when tier = 2 then o.title when tier in (1, 4) then coalesce(la.title, '') else o.title end as title, "
+    "case when tier is null then length(o.content) else length(la.content) end as size from old o left join la on la.target = o.id union all "
+    "select cast((select coalesce(max(id), 0) from old) + row_number() over (order by id, url) as integer), url, key, title, length(content) from la where tier = 3"
+)
 def upsert_articles(t):
     early = F.coalesce(F.col("crawled_at") < F.lit("2025-01-01").cast("timestamp_ntz"), F.lit(True))
     new = t.articles.where(~early).withColumn("ingest_order", F.col("id"))
@@ -609,6 +711,46 @@ def crawl_plan(t):
     return C.plan(_reach(t), t.articles, 2)
 
 
+@query(f"select coalesce(starts_with({Q.kb_id('url')}, 'KB'), false) as legacy, count(*) as pages from articles group by 1")
+def legacy_page_counts(t):
+    marked = C.legacy_pages(t.articles).withColumn("legacy", F.lit(True))
+    return t.articles.select("id").join(marked, "id", "left").groupBy(F.coalesce("legacy", F.lit(False)).alias("legacy")).agg(F.count("*").alias("pages"))
+
+
+_CRAWL = C.CrawlConfig((("portal", 1), ("printer", 2), ("gateway", 2)), 200)
+
+
+def _keyword_reach(t):
+    return C.reach_by_keywords(t.links, t.articles, _CRAWL, C.legacy_pages(t.articles))
+
+
+_KEYWORD_REACH = (
+    f"with recursive sk as (select id from articles where starts_with({Q.kb_id('url')}, 'KB')), e as (select distinct source_id, target_id from links where source_id <> target_id and target_id not in (select id from sk)), "
+    "s as (select id, 1 as most from articles where contains(lower(title), 'portal') union select id, 2 from articles where contains(lower(title), 'printer') or contains(lower(title), 'gateway')), "
+    "w(id, d, most) as (select id, 0, most from s where id not in (select id from sk) union select e.target_id, w.d + 1, most from w join e on e.source_id = w.id where w.d < most), met as (select id, min(d) as depth from w group by 1)"
+)
+
+
+@query(f"{_KEYWORD_REACH} select id, depth from met")
+def keyword_frontier(t):
+    return _keyword_reach(t)
+
+
+@query(f"{_KEYWORD_REACH} select id, depth from met where id in (select id from articles where not {Q.FILLED}) order by depth, id limit 200")
+def next_pages(t):
+    return C.next_pages(_keyword_reach(t), t.articles, _CRAWL)
+
+
+@query(
+    f"with f as (select {Q.normal_url('url')} as name, max(id) as last from articles where url is not null group by 1) select l.source_id, l.target_id, m.title as found_title, m.can_read as found_can_read "
+    f"from links l join articles a on a.id = l.target_id left join f on f.name = {Q.normal_url('a.url')} left join articles m on m.id = f.last"
+)
+def link_metadata(t):
+    found = C.latest_metadata(t.articles.select("id", "url", "title", "can_read"), "id", ["title", "can_read"])
+    targets = C.with_metadata(t.articles.select(F.col("id").alias("target_id"), "url"), found, ["title", "can_read"])
+    return t.links.select("source_id", "target_id").join(targets.drop("url"), "target_id").select("source_id", "target_id", "found_title", "found_can_read")
+
+
 # pages, search results, prompts and replies, made by Spark from the tables
 
 
@@ -622,12 +764,26 @@ def _pages(t):
     return t.articles.select("id", F.trim("url").alias("url"), html.alias("html"))
 
 
-@query()
+_SPACE = "[\\s\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
+
+
+def _stripped(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '^{_SPACE}', ''), '{_SPACE}$', '')"
+
+
+@query(
+    f"with p as (select id, {_stripped('coalesce(title, \'\')')} as title, [x for x in [{_stripped('y')} for y in string_split(coalesce(content, ''), chr(10))] if x <> ''] as lines from articles), "
+    "b as (select *, list_concat(case when title <> '' then [title] else [] end, lines, ['again', 'top']) as parts from p) "
+    "select id, case when title = '' then 'Untitled Article' else title end as title, cast(list_sum([length(x) for x in parts]) + len(parts) - 1 as integer) as size, 2 as links from b"
+)
 def parse_pages(t):
     return P.parse_pages(_pages(t)).select("id", "title", F.length("content").alias("size"), F.size("links").alias("links"))
 
 
-@query()
+@query(
+    "with p as (select id, trim(coalesce(url, ''), ' ') as url, coalesce(sys_kb_id, '0') as key from articles), r as (select id, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*') as root, regexp_replace(url, '[?#].*$', '') as bare, key from p) "
+    "select id, unnest([root || '/', bare || '?id=kb_article&sys_kb_id=' || key]) as link from r"
+)
 def page_links(t):
     return P.parse_pages(_pages(t)).select("id", F.explode("links").alias("link"))
 
@@ -685,12 +841,14 @@ def enrichment_outcome(t):
 # reports
 
 
-@query()
+@query(
+    f"with {Q.SIDEBAR} select category, '{{\"category\":' || to_json(category) || ',\"article_count\":' || max(category_count) || ',\"children\":[' || string_agg('{{\"place\":' || place || ',\"entry\":' || to_json(entry) || case when topic_id is null then '' else ',\"topic_id\":' || topic_id end || ',\"article_count\":' || article_count || '}}', ',' order by place) || ']}}' as json from side group by category"
+)
 def sidebar_json(t):
     return RP.sidebar_json(_sidebar(t))
 
 
-@query()
+@query(f"with {Q.ISSUES} select topic_id, '{{\"topic_id\":' || topic_id || ',\"issues\":[' || string_agg('{{\"issue\":\"' || issue || '\",\"severity\":\"' || severity || '\"}}', ',' order by issue, severity) || ']}}' as json from iss group by topic_id")
 def issues_json(t):
     return RP.issues_json(S.issues(T.known_edges(t.topic_relationships, t.topics), t.topics))
 

@@ -8,7 +8,7 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructField, Struc
 
 from corpusloom.sources.schemas import SCHEMAS
 
-_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
+_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 _nested = lambda kind: isinstance(kind, (MapType, ArrayType))
 
 
