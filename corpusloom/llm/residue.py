@@ -151,27 +151,29 @@ def text_units(articles: DataFrame) -> DataFrame:
 
 
 def recurring(units: DataFrame) -> DataFrame:
-    """(h, sources, titles) of the groups of `units` (h, source, title) that stand on SURE sources or more; titles are counted one a source."""
-    per_source = units.groupBy("h", "source").agg(F.min("title").alias("title"))
-    by = per_source.groupBy("h").agg(F.count("*").alias("sources"), F.countDistinct("title").alias("titles"))
-    return by.where(F.col("sources") >= SURE).select("h", "sources", "titles")
+    """(h, sources, titles, place) of the groups of `units` (h, source, title, place) that stand on SURE sources or more.
+
+    Titles are counted one a source; `place` is where one of the units stands.
+    """
+    per_source = units.groupBy("h", "source").agg(F.min("title").alias("title"), F.min("place").alias("place"))
+    by = per_source.groupBy("h").agg(F.count("*").alias("sources"), F.countDistinct("title").alias("titles"), F.min("place").alias("place"))
+    return by.where(F.col("sources") >= SURE)
 
 
 def worded(articles: DataFrame, groups: DataFrame) -> DataFrame:
-    """`groups` (h, sources, titles) with the wording of each, read once a group; those on fewer than RECURS sources only if they read wholly as a message."""
-    titles, lines = _lines(articles)
-    units = titles.unionByName(lines).select(masked(F.col("text")).alias("m")).select("m", F.xxhash64("m").alias("h"))
-    texts = units.join(groups.select("h"), "h", "left_semi").groupBy("h").agg(F.min("m").alias("m"))
-    both = groups.join(texts, "h").select("h", "sources", "titles", wording(F.col("m")).alias("wording"))
+    """`groups` with the wording of each, read at its place; those on fewer than RECURS sources only if they read wholly as a message."""
+    at = groups.select("h", "sources", "titles", "place.*")
+    titles, lines = _lines(articles.join(at.select("id"), "id", "left_semi"))
+    both = at.join(titles.unionByName(lines), ["id", "field", "at"]).dropDuplicates(["h"])
+    both = both.select("h", "sources", "titles", wording(masked(F.col("text"))).alias("wording"))
     return both.where((F.col("sources") >= RECURS) | (F.col("wording") >= 2))
 
 
-def grouped(pages: DataFrame) -> DataFrame:
-    """(h, kind, ...) of the recurring groups of `pages` (id, bare, sentences, hits): filler, message, explanation, furniture or copy."""
-    hits = pages.select("bare", "sentences", F.explode("hits").alias("hit")).select("bare", "sentences", "hit.*")
-    by = hits.groupBy("h").agg(
-        F.avg("bare").alias("share"), F.avg(F.when(F.col("bare") == 1, F.col("sentences"))).alias("length"), F.max("sources").alias("sources"), F.max("titles").alias("titles"), F.max("wording").alias("w")
-    )
+def grouped(pages: DataFrame, groups: DataFrame) -> DataFrame:
+    """(h, kind) of `groups` (h, sources, titles, wording) by their `pages` (id, bare, sentences, hits): filler, message, explanation, furniture or copy."""
+    hits = pages.select("bare", "sentences", F.explode("hits").alias("hit")).select("bare", "sentences", "hit.h")
+    by = hits.groupBy("h").agg(F.avg("bare").alias("share"), F.avg(F.when(F.col("bare") == 1, F.col("sentences"))).alias("length")).join(groups, "h")
+    by = by.withColumnRenamed("wording", "w")
     stands = F.col("share") >= BARE
     many = F.col("titles") >= RECURS
     kind = (
@@ -188,16 +190,16 @@ def grouped(pages: DataFrame) -> DataFrame:
 def residue(articles: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """(id, field) of every title and content of `articles` (id, url, title, content) that is residue or a notice. `texts`: their written text_units()."""
     texts = written(text_units(articles), "units") if texts is None else texts
-    each = texts.select("id", "field", "source", "title", F.explode("units").alias("unit")).where("unit.strong = 0").select("id", "field", "source", "title", "unit.h", "unit.plain")
-    again = broadcast_if_small(worded(articles, broadcast_if_small(recurring(each), name="recurring")), name="worded")
-    hits = each.join(again, "h").groupBy("id", "field").agg(
-        F.sum("plain").alias("recurs"), F.collect_list(F.struct("h", "plain", "wording", "sources", "titles")).alias("hits")
-    )
+    each = texts.select("id", "field", "source", "title", F.explode("units").alias("unit")).where("unit.strong = 0")
+    each = each.select("source", "title", "unit.h", F.struct("id", "field", "unit.at").alias("place"), "unit.plain")
+    groups = broadcast_if_small(worded(articles, broadcast_if_small(recurring(each), name="recurring")), name="worded")
+    hits = each.select("place.id", "place.field", "h", "plain").join(groups.select("h"), "h").groupBy("id", "field").agg(F.sum("plain").alias("recurs"), F.collect_list(F.struct("h", "plain")).alias("hits"))
     sentences = F.aggregate("units", F.lit(0), lambda s, u: s + u["plain"])
     pages = texts.where("strong = 0").select("id", "field", sentences.alias("sentences")).join(hits, ["id", "field"])
     pages = written(pages.select("id", "field", "sentences", (F.col("recurs") == F.col("sentences")).cast("int").alias("bare"), "hits"), "pages")
-    kinds = broadcast_if_small(grouped(pages.where("field = 'content'")), name="kinds")
-    judged = pages.select("id", "field", "sentences", F.explode("hits").alias("hit")).select("id", "field", "sentences", "hit.*").join(kinds, "h", "left")
+    kinds = grouped(pages.where("field = 'content'"), groups)
+    kinds = broadcast_if_small(groups.select("h", "wording").join(kinds, "h", "left"), name="kinds")
+    judged = pages.select("id", "field", "sentences", F.explode("hits").alias("hit")).select("id", "field", "sentences", "hit.*").join(kinds, "h")
     known = F.col("kind").isin("message", "filler", "explanation", "furniture")
     message = F.when(F.col("field") == "content", F.col("kind").isin("message", "filler")).otherwise(F.col("kind").isin("message", "filler") | ((F.col("wording") > 0) & F.coalesce(F.col("kind") != "furniture", F.lit(True))))
     by = judged.groupBy("id", "field").agg(F.max(message.cast("int")).alias("message"), F.sum(F.when(known, F.col("plain")).otherwise(0)).alias("known"), F.max("sentences").alias("sentences"), F.max((F.col("kind") == "filler").cast("int")).alias("filler"))
