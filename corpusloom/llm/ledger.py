@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import written
+
 #: Buckets of the ledger: with a stored ledger, a batch reads and rewrites only the buckets that it touches.
 BUCKETS = 64
 
@@ -40,11 +42,11 @@ def canonical_key(title: Column, url: Column) -> Column:
     return F.unhex(F.md5(F.concat(bare(F.coalesce(title, F.lit(""))), F.lit("\n"), url_key(url))))
 
 
-def keyed(records: DataFrame, id_col: str = "id", title: str = "title", url: str = "url", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(bucket, key, id) of each record, and the columns named in `keep`."""
+def keyed(records: DataFrame, id_col: str = "id", title: str = "title", url: str = "url", keep: tuple[str, ...] = (), buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, key, id) of each record, and the columns named in `keep`. A ledger keeps its number of buckets; a large one should have more."""
     key = canonical_key(F.col(title), F.col(url))
     return records.select(key.alias("key"), F.col(id_col).alias("id"), *keep).select(
-        F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("bucket"), "key", "id", *keep
+        F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"), "key", "id", *keep
     )
 
 
@@ -65,21 +67,19 @@ def merge_ledger(ledger: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def apply_batch(path: str, batch: DataFrame) -> None:
-    """Merge a keyed batch into the ledger stored at `path`, partitioned by bucket; buckets the batch lacks are neither read nor written."""
+    """Merge a keyed batch into the ledger stored at `path`, partitioned by bucket; buckets the batch lacks are neither read nor written.
+
+    The merged buckets are written to the shared folder first, so the ledger is only replaced by what is complete.
+    """
     spark = batch.sparkSession
-    batch = batch.persist()
-    touched = [r.bucket for r in batch.select("bucket").distinct().collect()]  # at most BUCKETS values
-    try:
-        old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
-        merged = merge_ledger(old, batch)
-    except Exception as e:  # the first batch
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    batch = written(batch, "batch")
+    touched = [r.bucket for r in batch.select("bucket").distinct().collect()]  # one row a bucket
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        merged = merge_ledger(spark.read.schema(batch_counts(batch).schema).parquet(path).where(F.col("bucket").isin(touched)), batch)
+    else:
         merged = batch_counts(batch)
-    from corpusloom.session import written
-
     written(merged, "ledger").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-    batch.unpersist()
 
 
 def copies(records: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import boilerplate, canonical, leakage, ledger, mojibake, neardup, packing, residue, survivor
-from corpusloom.session import broadcast_if_small, written
+from corpusloom.session import broadcast_if_small, shared_folder, written
 from corpusloom.sources.tables import table
 
 #: Crawls before this day form the stored ledger of p6, later ones the new batch.
@@ -52,9 +54,13 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue(table(spark, d, "articles"))
 
 
-def _ledger(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _keyed(articles: DataFrame) -> DataFrame:
     records = articles.select("id", "title", "url", F.coalesce(F.col("crawled_at") < F.lit(LEDGER_DAY).cast("timestamp_ntz"), F.lit(True)).alias("early"))
-    keyed = written(ledger.keyed(records, keep=("early",)), "keyed")
+    return written(ledger.keyed(records, keep=("early",)), "keyed")
+
+
+def _ledger(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    keyed = _keyed(articles)
     stored = ledger.batch_counts(keyed.where("early"))
     return keyed, ledger.merge_ledger(stored, keyed.where("not early"))
 
@@ -65,7 +71,12 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_ledger(spark: SparkSession, d: str) -> DataFrame:
-    return _ledger(table(spark, d, "articles"))[1].select("first_id", "copies")
+    """The ledger on disk after two batches."""
+    path = f"{shared_folder(spark)}/corpusloom/{spark.sparkContext.applicationId}/book-{uuid.uuid4().hex}"
+    keyed = _keyed(table(spark, d, "articles"))
+    for batch in (keyed.where("early"), keyed.where("not early")):
+        ledger.apply_batch(path, batch)
+    return spark.read.parquet(path).select("first_id", "copies")
 
 
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:

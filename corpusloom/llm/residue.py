@@ -151,22 +151,21 @@ def text_units(articles: DataFrame) -> DataFrame:
 
 
 def recurring(units: DataFrame) -> DataFrame:
-    """(h, sources, titles, place) of the groups of `units` (h, source, title, place) that stand on SURE sources or more.
+    """(h, sources, titles, id) of the groups of `units` (h, source, title, id) that stand on SURE sources or more.
 
-    Titles are counted one a source; `place` is where one of the units stands.
+    Titles are counted one a source; `id` is a record that holds one of the units.
     """
-    per_source = units.groupBy("h", "source").agg(F.min("title").alias("title"), F.min("place").alias("place"))
-    by = per_source.groupBy("h").agg(F.count("*").alias("sources"), F.countDistinct("title").alias("titles"), F.min("place").alias("place"))
+    per_source = units.groupBy("h", "source").agg(F.min("title").alias("title"), F.min("id").alias("id"))
+    by = per_source.groupBy("h").agg(F.count("*").alias("sources"), F.countDistinct("title").alias("titles"), F.min("id").alias("id"))
     return by.where(F.col("sources") >= SURE)
 
 
 def worded(articles: DataFrame, groups: DataFrame) -> DataFrame:
-    """`groups` with the wording of each, read at its place; those on fewer than RECURS sources only if they read wholly as a message."""
-    at = groups.select("h", "sources", "titles", "place.*")
-    titles, lines = _lines(articles.join(at.select("id"), "id", "left_semi"))
-    both = at.join(titles.unionByName(lines), ["id", "field", "at"]).dropDuplicates(["h"])
-    both = both.select("h", "sources", "titles", wording(masked(F.col("text"))).alias("wording"))
-    return both.where((F.col("sources") >= RECURS) | (F.col("wording") >= 2))
+    """(h, sources, titles, wording) of `groups`, read in one record each; those on fewer than RECURS sources only if they read wholly as a message."""
+    titles, lines = _lines(articles.join(groups.select("id").distinct(), "id", "left_semi"))
+    units = titles.unionByName(lines).select("id", masked(F.col("text")).alias("m")).select("id", "m", F.xxhash64("m").alias("h"))
+    both = units.join(groups, ["id", "h"]).groupBy("h", "sources", "titles").agg(F.min("m").alias("m"))
+    return both.select("h", "sources", "titles", wording(F.col("m")).alias("wording")).where((F.col("sources") >= RECURS) | (F.col("wording") >= 2))
 
 
 def grouped(pages: DataFrame, groups: DataFrame) -> DataFrame:
@@ -191,9 +190,9 @@ def residue(articles: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """(id, field) of every title and content of `articles` (id, url, title, content) that is residue or a notice. `texts`: their written text_units()."""
     texts = written(text_units(articles), "units") if texts is None else texts
     each = texts.select("id", "field", "source", "title", F.explode("units").alias("unit")).where("unit.strong = 0")
-    each = each.select("source", "title", "unit.h", F.struct("id", "field", "unit.at").alias("place"), "unit.plain")
+    each = each.select("id", "field", "source", "title", "unit.h", "unit.plain")
     groups = broadcast_if_small(worded(articles, broadcast_if_small(recurring(each), name="recurring")), name="worded")
-    hits = each.select("place.id", "place.field", "h", "plain").join(groups.select("h"), "h").groupBy("id", "field").agg(F.sum("plain").alias("recurs"), F.collect_list(F.struct("h", "plain")).alias("hits"))
+    hits = each.select("id", "field", "h", "plain").join(groups.select("h"), "h").groupBy("id", "field").agg(F.sum("plain").alias("recurs"), F.collect_list(F.struct("h", "plain")).alias("hits"))
     sentences = F.aggregate("units", F.lit(0), lambda s, u: s + u["plain"])
     pages = texts.where("strong = 0").select("id", "field", sentences.alias("sentences")).join(hits, ["id", "field"])
     pages = written(pages.select("id", "field", "sentences", (F.col("recurs") == F.col("sentences")).cast("int").alias("bare"), "hits"), "pages")

@@ -65,7 +65,7 @@ def test_recurring_messages_are_found_whether_listed_or_not(spark):
 def test_without_groups_across_sources_no_message_is_found(spark, monkeypatch):
     rows = corpus()
     assert cases(frame(spark, [(i, "https://one.example/a", t, c) for i, _, t, c in rows])) == set()
-    monkeypatch.setattr(R, "recurring", lambda units: units.selectExpr("h", "1L as sources", "1L as titles", "place").limit(0))
+    monkeypatch.setattr(R, "recurring", lambda units: units.selectExpr("h", "1L as sources", "1L as titles", "id").limit(0))
     assert cases(frame(spark, rows)) == set()
 
 
