@@ -60,9 +60,9 @@ def hierarchy(edges: DataFrame) -> DataFrame:
             )
             waiting = reached.where("seen < parents")
             reached = reached.where("seen >= parents")
-        frontier = written(
-            reached.select(F.col("child").alias("node"), "best.root", F.col("best.col1").alias("depth"), F.col("best.col2").alias("path")), "level"
-        )
+        frontier = reached.select(F.col("child").alias("node"), "best.root", F.col("best.col1").alias("depth"), F.col("best.col2").alias("path"))
+        # where nodes have several parents, the level is written already
+        frontier = frontier if several else written(frontier, "level")
         levels.append(frontier)
     settled = levels[0]
     for level in levels[1:]:

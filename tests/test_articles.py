@@ -48,6 +48,42 @@ def test_upserts(spark):
     assert {tuple(r) for r in links.collect()} == {(2, 3), (2, 1)} and more.where("title = 'Pending'").first()["sys_kb_id"] == "ab1"
 
 
+def test_upsert_by_url(spark):
+    old = rows(spark, [dict(id=1, url="https://h/1", title="A", content="a", number="N")])
+    new = rows(spark, [dict(url="https://h/1", key="k7", title="Quite another", content="b"), dict(url=None, title="C", content="c"), dict(url=None, title="D", content="d")])
+    got = {r.title: r for r in A.upsert_articles(old, new.withColumn("ingest_order", F.monotonically_increasing_id())).collect()}
+    # title, content and key are taken, the rest stays; rows that nothing identifies are all added
+    assert set(got) == {"Quite another", "C", "D"} and (got["Quite another"].id, got["Quite another"].number, got["Quite another"].sys_kb_id) == (1, "N", "k7")
+
+
+def test_insert_ignore(spark):
+    pairs = lambda x: spark.createDataFrame(x, "topic_id int, article_id int")
+    once = A.insert_ignore(pairs([(1, 1)]), pairs([(1, 1), (1, 2), (1, 2), (None, 3)]), ["topic_id", "article_id"])
+    assert sorted(map(tuple, once.collect())) == [(1, 1), (1, 2)]
+    assert sorted(map(tuple, A.insert_ignore(once, once, ["topic_id", "article_id"]).collect())) == [(1, 1), (1, 2)]
+
+
+def test_whole_deduplication(spark):
+    a = rows(spark, [dict(id=1, key="k1", title="Pending", content="first"), dict(id=2, key="k1", title="A", content="", number=""), dict(id=3, key="k1", title="A2", content="third", number="N3"), dict(id=4, title="A2", content=None, updated=dt.datetime(2025, 1, 1))])
+    links = spark.createDataFrame([(1, 4, None), (3, 4, None), (2, 1, None)], "source_id int, target_id int, created_at timestamp_ntz")
+    enrichment = spark.createDataFrame([(7, 1), (8, 3), (9, 4)], "id int, article_id int")
+    placed = spark.createDataFrame([(5, 2), (5, 3)], "topic_id int, article_id int")
+    by_key = A.deduplicated_by_key(a, links, enrichment, placed)
+    left = {r.id: r for r in by_key["articles"].collect()}
+    assert set(left) == {3, 4} and (left[3].title, left[3].content, left[3].number) == ("A2", "third", "N3")
+    assert {tuple(r)[:2] for r in by_key["links"].collect()} == {(3, 4), (3, 3)}
+    assert {r.id for r in by_key["article_enrichment"].collect()} == {8, 9} and {r.article_id for r in by_key["topic_articles"].collect()} == {3}
+    by_title = A.deduplicated_by_title(a, links, enrichment, placed)
+    assert {r.id: r.content for r in by_title["articles"].collect()} == {1: "first", 2: "", 3: "third"}
+    assert by_key["articles"].columns == a.columns == by_title["articles"].columns
+
+
+def test_next_batch(spark):
+    a = rows(spark, [dict(id=i, title="t", content="x" if i != 3 else "") for i in range(1, 8)])
+    done = spark.createDataFrame([(2,)], "article_id int")
+    assert [r.id for r in A.unenriched_batch(a, done, 3).collect()] == [1, 4, 5]
+
+
 def test_urls(spark):
     cases = [("https://h/kb?id=x&sys_kb_id=AbC123&x=1", "AbC123", "sys_kb_id:AbC123"), ("https://h/kb?sysparm_article=kb0012", "kb0012", "sys_kb_id:kb0012"), ("https://h/a/", None, "https://h/a"), ("https://h/a/#top", None, "https://h/a/"), (None, None, None)]
     df = spark.createDataFrame([(c[0],) for c in cases], "u string")
