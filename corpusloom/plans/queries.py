@@ -798,8 +798,8 @@ def page_titles(t):
 def flatten_search_results(t):
     meta = F.struct(F.lit("knowledge").alias("source"), F.struct(F.col("title").alias("display_value")).alias("title"), "number", "can_read")
     hit = F.struct(F.col("id").cast("string").alias("id"), F.col("url").alias("link"), meta.alias("meta"))
-    host = F.regexp_extract("url", "://([^/]+)", 1)
-    replies = t.articles.groupBy(host.alias("host"), F.pmod(F.xxhash64("id"), F.lit(64)).alias("part")).agg(F.to_json(F.struct(F.struct(F.struct(F.collect_list(hit).alias("results")).alias("results")).alias("data"))).alias("reply"))
+    page = F.floor(F.col("id") / 50)  # a reply has a page of at most 50 hits
+    replies = t.articles.groupBy(page.alias("page")).agg(F.to_json(F.struct(F.struct(F.struct(F.collect_list(hit).alias("results")).alias("results")).alias("data"))).alias("reply"))
     return RP.search_results(replies, "reply")
 
 
