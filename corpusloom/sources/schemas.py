@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, FloatType, IntegerType, LongType, MapType, StringType, StructField, StructType, TimestampNTZType
 
+_KINDS: dict[str, DataType] = {
+    "int": IntegerType(), "string": StringType(), "float": FloatType(), "timestamp_ntz": TimestampNTZType(), "array<string>": ArrayType(StringType()), "map<string,bigint>": MapType(StringType(), LongType()),
+}
 _COUNTS = "map<string,bigint>"
 #: Every table with its columns, in order.
 SCHEMAS: dict[str, StructType] = {
-    name: StructType.fromDDL(ddl)
-    for name, ddl in {
+    name: StructType([StructField(column.split(" ")[0], _KINDS[column.split(" ")[1]]) for column in columns.split(", ")])
+    for name, columns in {
         "articles": "id int, url string, sys_kb_id string, title string, content string, number string, display_number string, snippet string, score float, can_read string, depth int, crawled_at timestamp_ntz, updated_at timestamp_ntz",
         "links": "source_id int, target_id int, created_at timestamp_ntz",
         "article_enrichment": "id int, article_id int, canonical_topic string, keywords array<string>, intent string, audience string, prerequisites array<string>, complexity string, enriched_at timestamp_ntz, llm_model string",

@@ -44,3 +44,13 @@ def test_broadcasts_are_size_checked(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(session.broadcast_if_small(spark.range(3), 3))
     assert not hinted(session.broadcast_if_small(spark.range(4), 3))
+
+
+def test_import_needs_no_session():
+    """The entry module is imported before a session exists."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) <= set(q); assert 'p7_found' in q; e.entry"
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, timeout=120).returncode == 0
