@@ -115,7 +115,7 @@ def is_latin(m: Column) -> Column:
 
 def by_rule(text: Column, m: Column) -> Column:
     """A marker, placeholder or pseudo-Latin: a case wherever it stands. The cheap tests go first."""
-    signs = text.rlike(r"[{}%$@<\[_]|&lt;|XX_")
+    signs = reduce(lambda c, x: c | text.contains(x), ("[", "%%", "$", "@@", "<", "_", "&lt;", "&LT;"), text.contains("{"))
     return F.when(signs & text.rlike(MARKER), True).when(signs & has_placeholder(squeezed(text)), ~text.rlike(TRAIL)).otherwise(is_latin(m))
 
 
