@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm import residue
+from corpusloom.llm.words import Kept
 from corpusloom.session import broadcast_if_small, ship_package, written
 
 #: Bound of the labelled sample.
@@ -80,8 +81,16 @@ def kind_of(line: str, n_words: int | None = None) -> int:
     return OTHER if closed else TITLE
 
 
+def _crc(text: str, prefix: int = 0) -> int:
+    """CRC of the text behind a prefix of that CRC."""
+    return zlib.crc32(text.encode("utf-8", "surrogatepass"), prefix)
+
+
 def _hash(text: str) -> int:
-    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % SPACE
+    return _crc(text) % SPACE
+
+
+_TWO, _THREE, _WHOLE, _LAST = _crc("g"), _crc("h"), _crc("l"), [_crc(f"{k}z") for k in KINDS]
 
 
 def line_features(line: str) -> tuple[list[str], int]:
@@ -248,15 +257,17 @@ def train(contents: list[str], titles: list[str | None], labels: list[np.ndarray
     if not contents:
         return model
     pages, starts, titled = split_pages(contents, titles)
+    # equal lines have one set of features
+    number: dict[str, int] = {}
+    line_of = np.array([number.setdefault(line, len(number)) for lines in pages for line in lines])
     feats, kinds = [], []
-    for lines in pages:
-        for line in lines:
-            f, k = line_features(line)
-            feats.append([_hash(x) for x in f])
-            kinds.append(k)
+    for line in number:
+        f, k = line_features(line)
+        feats.append([_hash(x) for x in f])
+        kinds.append(k)
     y = np.concatenate(labels)
-    b = Batch(np.array(kinds), starts, titled)
-    node_of = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
+    b = Batch(np.array(kinds)[line_of], starts, titled)
+    owner = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
     flat = np.concatenate([np.array(f) for f in feats])
     state = [(np.zeros_like(a), np.zeros_like(a)) for a in model.arrays()]
     n = len(y)
@@ -264,11 +275,11 @@ def train(contents: list[str], titles: list[str | None], labels: list[np.ndarray
     known = np.where(y < 0, 0.0, np.where(y > 0, CERTAIN, -CERTAIN))
     for t in range(1, epochs + 1):
         rate = 0.15 if 2 * t < epochs else 0.05
-        own = np.bincount(node_of, weights=model.node[flat], minlength=n)
+        own = np.bincount(owner, weights=model.node[flat], minlength=len(feats))[line_of]
         main, pair = marginals(model, b, own, edges=True)
         main_known, pair_known = marginals(model, b, own + known, edges=True)
         g = main_known - main
-        grads = [np.bincount(flat, weights=g[node_of], minlength=SPACE)]
+        grads = [np.bincount(flat, weights=np.bincount(line_of, weights=g, minlength=len(feats))[owner], minlength=SPACE)]
         near = np.zeros_like(model.near)
         for o in range(len(OFFSETS)):
             np.add.at(near[o], (b.near[o], b.kinds), g)
@@ -293,18 +304,32 @@ class Scorer:
     KEEP = 100_000
 
     def __init__(self, model: Model) -> None:
-        self.model, self.known, self.weights = model, {}, {}
+        self.model = model
+        self.known: dict[str, tuple[float, int]] = {}
+        self.node = node = model.node.tolist()
+        self.masks = Kept(lambda w: _DIGITS.sub("0", w), self.KEEP)
+        self.words = Kept(lambda w: node[_hash("w" + _DIGITS.sub("0", w))], self.KEEP)
+        # of features that recur; the others are hashed each time
+        self.weights = Kept(lambda x: node[_hash(x)], self.KEEP)
 
     def line(self, line: str) -> tuple[float, int]:
-        names, k = line_features(line)
-        weights, score = self.weights, 0.0
-        for x in names:
-            w = weights.get(x)
-            if w is None:
-                if len(weights) >= 2 * self.KEEP:
-                    weights.clear()
-                w = weights[x] = float(self.model.node[_hash(x)])
-            score += w
+        """The sum of the weights of line_features(), and the kind; digits are masked in single words."""
+        w = line.lower().split()
+        n = len(w)
+        k = kind_of(line, n)
+        weights, mask = self.weights, self.masks.__getitem__
+        score = weights[f"k{k}"] + weights[f"{k}n{min(n, 13)}"] + weights["upper" if line.isupper() else "mixed"]
+        if w:
+            node = self.node
+            first = [mask(x) for x in w[:3]]
+            score += weights["f" + first[0]] + node[_crc(" ".join(first[:2]), _TWO) % SPACE] + node[_crc(" ".join(first), _THREE) % SPACE]
+            score += node[_crc(" ".join([mask(x) for x in w[-2:]]), _LAST[k]) % SPACE] + sum(map(self.words.__getitem__, w))
+        if n <= 12:
+            low = " ".join([mask(x) for x in w])
+            score += weights[f"{k}e{low[-1:]}"] + weights[f"{k}b{low[:1]}"] + self.node[_crc(low, _WHOLE) % SPACE]
+            for c in _SIGNS:
+                if c in low:
+                    score += weights["c" + c]
         if len(line) < 100:
             if len(self.known) >= self.KEEP:
                 self.known.clear()

@@ -2,17 +2,17 @@
 
 Each text becomes its set of hashed word runs. One hash pass spreads the set over BANDS x ROWS bins and keeps the least
 value of each; empty bins borrow from bins drawn by a fixed hash until a full one is met (optimal densification). Rows
-of bins form bands; texts that agree on a whole band share a bucket, and each member of a bucket is paired with the
-bucket's first text only (a star), so a bucket of n texts gives n - 1 candidates. Candidates are verified on the full
+of bins form bands; texts that agree on a whole band share a bucket, and each member of a bucket is paired with one
+text of the bucket only, its hub (a star), so a bucket of n texts gives n - 1 candidates. Candidates are verified on the full
 sets. Verified stars are joined to components; members of a bucket that are then in different components are compared
-too, as the first text may be similar to none of them, so every pair that shares a bucket is settled. What these add is
+too, as the hub may be similar to none of them, so every pair that shares a bucket is settled. What these add is
 joined to the components, and the texts of a component are compared with each other: those of
 small components by a join, those of larger ones in blocks of bounded size, so that no key and no task holds more than
 two blocks. Where only the number of similar texts is wanted, pairs that the distances to a common hub prove similar
 (the Jaccard distance is a metric) are counted by a running window and not compared at all.
 
-Texts with the same words are one node, before the buckets and until the very end. Buckets are read with a running window, so no bucket is
-held in memory. Defined cases: a null title counts as empty; null or empty contents take no part; a text of fewer words
+Texts with the same words are one node, before the buckets and until the very end. Buckets are read batch by batch, so no bucket is
+held in memory; which text is the hub changes no result, as every pair that shares a bucket is settled. Defined cases: a null title counts as empty; null or empty contents take no part; a text of fewer words
 than a run has no runs and no pairs; an empty table gives no rows; extra columns are ignored; whole texts are read.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import boilerplate, residue
 from corpusloom.llm.words import WordHasher, mix, run_hashes
-from corpusloom.session import broadcast_if_small, ship_package, written
+from corpusloom.session import broadcast_if_small, delete_frame, ship_package, written, written_by
 
 #: 48 bands of 4 rows find a pair of similarity 0.58 with probability 0.996, one of 0.05 with 0.0003.
 BANDS, ROWS = 48, 4
@@ -96,18 +96,20 @@ class Sketcher:
         counts = np.bincount(d, minlength=len(texts))
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         bands = self.bands(h, d, len(texts))
-        grams = pa.ListArray.from_arrays(pa.array(offsets), pa.array((h >> np.uint64(16)).astype(np.uint32).view(np.int32)))
+        # 4 bytes a run: binary values are copied whole where lists are read and written element by element
+        values = (h >> np.uint64(16)).astype(np.uint32)
+        grams = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(4 * offsets), pa.py_buffer(values)])
         band_lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
         keep = pa.array(counts > 0)
         return pa.RecordBatch.from_arrays([ids, pa.array(key.view(np.int64)), pa.array(counts.astype(np.int32)), band_lists, grams], names=["id", "node", "n", "bands", "grams"]).filter(keep)
 
 
 def _schema(kind: str) -> str:
-    return f"id {kind}, node bigint, n int, bands array<int>, grams array<int>"
+    return f"id {kind}, node bigint, n int, bands array<int>, grams binary"
 
 
 def sketches(texts: DataFrame, run: int = 5) -> DataFrame:
-    """(id, node, n, bands, grams) of each row of `texts` (id, text) that has a run of `run` words; null texts have none."""
+    """(id, node, n, bands, grams: 4 bytes a run) of each row of `texts` (id, text) that has a run of `run` words; null texts have none."""
     ship_package(texts.sparkSession)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,26 +140,44 @@ def article_sketches(articles: DataFrame, run: int = 3, model: boilerplate.Model
 
 
 def met(sketch: DataFrame) -> DataFrame:
-    """(bucket, a, b): each bucket's least node a with every other node of the bucket."""
+    """(bucket, a, b): one node a of each bucket, its least unless the bucket spans batches, with every other node of the bucket."""
     # copies are one node before they meet any bucket, so a bucket has each node once
     rows = sketch.select("node", "bands").dropDuplicates(["node"]).select("node", F.posexplode("bands").alias("band", "h"))
     bucket = (F.shiftleft(F.col("band").cast("long"), 32) + F.col("h")).alias("bucket")
-    first = Window.partitionBy("bucket").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pairs = rows.select(bucket, "node").withColumn("a", F.first("node").over(first)).where("a <> node")
-    return pairs.select("bucket", "a", F.col("node").alias("b"))
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, hub = None, 0  # of the bucket read last
+        for part in batches:
+            if not part.num_rows:
+                continue
+            b, node = part.column("bucket").to_numpy(), part.column("node").to_numpy()
+            order = np.lexsort((node, b))
+            b, node = b[order], node[order]
+            begins = np.concatenate([[b[0] != last], b[1:] != b[:-1]])
+            at = np.maximum.accumulate(np.where(begins, np.arange(len(b)), -1))
+            a = np.where(at < 0, hub, node[at])
+            yield pa.RecordBatch.from_arrays([pa.array(b[~begins]), pa.array(a[~begins]), pa.array(node[~begins])], names=["bucket", "a", "b"])
+            last, hub = b[-1], a[-1]
+
+    # one key, so that Spark sorts by radix; a bucket is read batch by batch, none is held in memory
+    return rows.select(bucket, "node").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(go, "bucket bigint, a bigint, b bigint")
 
 
 def star_edges(sketch: DataFrame) -> DataFrame:
-    """(a, b): candidate pairs of nodes, each bucket's least node with every other node of the bucket."""
-    return met(sketch).select("a", "b").distinct()
+    """(a, b), a < b: candidate pairs of nodes, one node of each bucket with every other node of the bucket."""
+    return _ordered(met(sketch)).distinct()
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def crossing_pairs(buckets: DataFrame, group: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, similarity) of the similar pairs of nodes that share a bucket, are not its least node and are in different components."""
-    many = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    rows = buckets.join(many, "bucket").join(group, F.col("b") == group.node, "left").select(F.col("bucket").alias("g"), F.col("b").alias("node"), F.coalesce("component", "b").alias("home"), "size")
-    mixed = rows.groupBy("g").agg(F.min("home").alias("least"), F.max("home").alias("most")).where("least < most").select("g")
-    rows = written(rows.join(mixed, "g", "left_semi"), "crossing")
+    """(a, b, similarity) of the similar pairs of nodes that share a bucket, are not its hub and are in different components."""
+    rows = buckets.join(group, F.col("b") == group.node, "left").select(F.col("bucket").alias("g"), F.col("b").alias("node"), F.coalesce("component", "b").alias("home"))
+    rows = written(rows, "homes")
+    mixed = rows.groupBy("g").agg(F.count("*").alias("size"), F.min("home").alias("least"), F.max("home").alias("most")).where("least < most").select("g", "size")
+    rows = written(rows.join(mixed, "g"), "crossing")
     few = rows.where(F.col("size") <= SMALL)
     x, y = few.select("g", F.col("node").alias("a"), F.col("home").alias("h")), few.select("g", F.col("node").alias("b"), F.col("home").alias("k"))
     pairs = verified(x.join(y, "g").where("a < b and h <> k").select("a", "b").distinct(), grams, threshold)
@@ -168,10 +188,19 @@ def crossing_pairs(buckets: DataFrame, group: DataFrame, grams: DataFrame, thres
     return pairs
 
 
-def _shared(left: pa.ListArray, right: pa.ListArray) -> np.ndarray:
+def _values(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of a column of grams, as lists or as bytes."""
+    if pa.types.is_list(lists.type):
+        return lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy().view(np.uint32)
+    kind = np.int64 if pa.types.is_large_binary(lists.type) else np.int32
+    _, offsets, data = lists.buffers()
+    at = np.frombuffer(offsets, kind, len(lists) + 1, lists.offset * kind().itemsize).astype(np.int64) // 4
+    return at, np.frombuffer(data, np.uint32, at[-1]) if data and at[-1] else np.zeros(0, np.uint32)
+
+
+def _shared(left: pa.Array, right: pa.Array) -> np.ndarray:
     """How many values the lists of each row of `left` and `right` have in common; rows are compared COMPARED_RUNS values at a time, one at least."""
-    x, y = left.offsets.to_numpy().astype(np.int64), right.offsets.to_numpy().astype(np.int64)
-    a, b = left.values.to_numpy().view(np.uint32), right.values.to_numpy().view(np.uint32)
+    (x, a), (y, b) = _values(left), _values(right)
     out = np.zeros(len(left), dtype=np.int64)
     total = (x - x[0]) + (y - y[0])
     at = 0
@@ -222,9 +251,9 @@ def _compared(table: pa.Table, threshold: float, bound: int) -> tuple[np.ndarray
     """
     n, side = table.column("n").to_numpy(), table.column("side").to_numpy()
     home, far = table.column("home").to_numpy(), table.column("far").to_numpy()
-    lists = table.column("grams").combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    gram = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1].astype(np.int64)
+    offsets, values = _values(table.column("grams").combine_chunks())
+    sizes = np.diff(offsets)
+    gram = np.unique(values[offsets[0] : offsets[-1]], return_inverse=True)[1].astype(np.int64)
     width = int(gram.max()) + 1
     cell = np.unique(np.repeat(np.arange(len(n), dtype=np.int64), sizes) * width + gram)
     row, gram = cell // width, cell % width
@@ -288,13 +317,17 @@ def block_pairs(members: DataFrame, grams: DataFrame, threshold: float, bound: i
     return rows.groupBy("g", "i", "j").applyInArrow(go, "node bigint, links bigint" if counts else "a bigint, b bigint, similarity double")
 
 
-def _stars(sketch: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Verified stars and crossing pairs (a, b, similarity), grams of the nodes that are candidates, and components with their size (component, node, size)."""
+def _stars(sketch: DataFrame, threshold: float, read: Callable[[], None] = lambda: None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Verified stars and crossing pairs (a, b, similarity), grams of the nodes that are candidates, and components with their size (component, node, size).
+
+    `read` is called when `sketch` was read for the last time.
+    """
     buckets = written(met(sketch), "buckets")
-    candidates = written(buckets.select("a", "b").distinct(), "stars")
+    candidates = written(_ordered(buckets).distinct(), "stars")
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
     grams = sketch.select("node", "n", "grams").join(broadcast_if_small(ends), "node", "left_semi").dropDuplicates(["node"])
-    grams = written(grams, "grams")
+    grams = written_by(grams, "grams", "node")
+    read()
     stars = written(verified(candidates, grams, threshold), "verified")
     group = components(stars)
     more = written(crossing_pairs(buckets, group, grams, threshold), "crossed")
@@ -312,9 +345,9 @@ def _small_pairs(stars: DataFrame, grams: DataFrame, group: DataFrame, threshold
     return stars.join(few.select(F.col("node").alias("a")), "a", "left_semi").unionByName(verified(more, grams, threshold))
 
 
-def similar_nodes(sketch: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, similarity), a < b, of the different texts that are at least so similar and met by way of the bands."""
-    stars, grams, group = _stars(sketch, threshold)
+def similar_nodes(sketch: DataFrame, threshold: float, read: Callable[[], None] = lambda: None) -> DataFrame:
+    """(a, b, similarity), a < b, of the different texts that are at least so similar and met by way of the bands. `read`: as for _stars()."""
+    stars, grams, group = _stars(sketch, threshold, read)
     pairs = _small_pairs(stars, grams, group, threshold)
     many = group.where(F.col("size") > SMALL)
     if many.isEmpty():
@@ -372,4 +405,7 @@ def similar_articles(articles: DataFrame, threshold: float = 0.5, run: int = 3)
     made = written(article_sketches(articles, run, boilerplate.fit(articles, units)), "sketches")
     bad = residue.residue(articles, units).select("id").distinct()
     sketch = made.join(broadcast_if_small(bad), "id", "left_anti")
-    return expand(written(similar_nodes(sketch, threshold), "pairs"), sketch)
+    # what was read for the last time needn't stay on disk
+    delete_frame(units)
+    member = written(sketch.select("id", "node"), "members")
+    return expand(written(similar_nodes(sketch, threshold, lambda: delete_frame(made)), "pairs"), member)

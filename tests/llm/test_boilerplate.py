@@ -134,3 +134,13 @@ def test_lines(spark, model, corpus):
     empty = df.limit(0).selectExpr("*", "'' as url")
     assert B.boilerplate_lines(empty).isEmpty()
     assert B.fit(df.selectExpr("*", "cast(null as string) as url")).arrays()[0].shape == (B.SPACE,)
+
+
+def test_scores_are_sums_over_the_features():
+    m = B.Model()
+    m.node[:] = np.random.default_rng(3).normal(size=B.SPACE)
+    s = B.Scorer(m)
+    for line in ("", "  ", "Home > Labs 12 > Printing", "$ ls -l 42", "SHORT", "© 2024 Ébène | help?", "Step 3: press the key and wait until 15 of the 20 lamps of this long row are lit again.") * 2:
+        names, kind = B.line_features(line)
+        score, k = s.line(line)
+        assert k == kind and abs(score - sum(m.node[B._hash(x)] for x in names)) < 1e-9

@@ -54,3 +54,15 @@ def test_import_needs_no_session():
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = "import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) <= set(q); assert 'p7_found' in q; e.entry"
     assert subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, timeout=120).returncode == 0
+
+
+def test_buckets_are_read_without_a_shuffle_and_tables_deleted_by_name(spark):
+    rows = spark.range(200).selectExpr("id % 50 as k", "id as v")
+    kept, by = session.written(rows, "kept"), session.written_by(rows, "by", "k")
+    both = by.hint("merge").join(spark.range(50).withColumnRenamed("id", "k"), "k")
+    assert both._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("Exchange") == 1 and both.count() == 200
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("by_")]
+    folder = by.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.exists(folder)
+    session.delete_frame(by)
+    assert not os.path.exists(folder) and kept.count() == 200
