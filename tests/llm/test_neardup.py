@@ -132,3 +132,14 @@ def test_pairs_whose_bucket_has_an_unlike_first_text(spark, monkeypatch):
     monkeypatch.setattr(N, "BLOCK_RUNS", 200)
     got = {r.id: (r.class_id, r.links) for r in N.classes(s, 0.5).collect()}
     assert {k: v for k, v in got.items() if v != (k, 0)} == {2: (2, 1), 3: (2, 2), 4: (2, 1)}
+
+
+def test_every_article_takes_part_and_sketches_are_off_the_disk_after(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    pages = [[" ".join(word() for _ in range(10)).capitalize() + "." for _ in range(8)] for _ in range(30)]
+    # a page and its copy, far from each other in the table; one word of the last line differs
+    rows = [(i, f"https://h{i % 7}.example/{word()}", f"On {word()} and {word()}", "\n".join([*p[:-1], p[-1][:-1] + f" {word()}."])) for i, p in enumerate(pages * 2)]
+    got = N.similar_articles(spark.createDataFrame(rows, "id int, url string, title string, content string"))
+    assert {tuple(r) for r in got.collect()} == {(i, i + 30) for i in range(30)}
+    assert not [f for f in got.inputFiles() if "/sketches-" in f or "/units-" in f]
