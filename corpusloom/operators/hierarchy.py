@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import written
+from corpusloom.session import together, written
 
 
 def clean_edges(
@@ -29,6 +29,10 @@ def clean_edges(
     return edges.join(known, edges.parent == known.known, "left_semi").join(known, edges.child == known.known, "left_semi")
 
 
+def _level(reached: DataFrame) -> DataFrame:
+    return reached.select(F.col("child").alias("node"), "best.root", F.col("best.col1").alias("depth"), F.col("best.col2").alias("path"))
+
+
 def hierarchy(edges: DataFrame) -> DataFrame:
     """(node, root, depth, path array) for every end of `edges` (parent, child); -1, -1 and null path on a cycle or below one.
 
@@ -45,7 +49,8 @@ def hierarchy(edges: DataFrame) -> DataFrame:
         nodes.where("parents = 0").select("node", F.col("node").alias("root"), F.lit(0).alias("depth"), F.array("node").alias("path")),
         "level",
     )
-    levels, waiting = [frontier], None
+    # of nodes with several parents, what is written of a level also has those that still wait
+    levels, steps, waiting = [frontier], [], None
     counted = edges.join(nodes.select(F.col("node").alias("child"), "parents"), "child") if several else edges.withColumn("parents", F.lit(1))
     counted = written(counted.select("parent", "child", "parents"), "counted")
     while not frontier.isEmpty():
@@ -58,15 +63,17 @@ def hierarchy(edges: DataFrame) -> DataFrame:
             reached = written(
                 reached.groupBy("child").agg(F.max("parents").alias("parents"), F.sum("seen").cast("int").alias("seen"), F.min("best").alias("best")), "reached"
             )
+            steps.append(reached)
             waiting = reached.where("seen < parents")
             reached = reached.where("seen >= parents")
-        frontier = reached.select(F.col("child").alias("node"), "best.root", F.col("best.col1").alias("depth"), F.col("best.col2").alias("path"))
+        frontier = _level(reached)
         # where nodes have several parents, the level is written already
-        frontier = frontier if several else written(frontier, "level")
-        levels.append(frontier)
-    settled = levels[0]
-    for level in levels[1:]:
-        settled = settled.unionByName(level)
+        if not several:
+            frontier = written(frontier, "level")
+            levels.append(frontier)
+    settled = together(levels)
+    if steps:
+        settled = settled.unionByName(_level(together(steps).where("seen >= parents")))
     rest = nodes.join(settled.select("node"), "node", "left_anti").select(
         "node", F.lit(-1).cast(dict(nodes.dtypes)["node"]).alias("root"), F.lit(-1).alias("depth"), F.lit(None).cast(settled.schema["path"].dataType).alias("path")
     )

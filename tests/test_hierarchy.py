@@ -44,3 +44,12 @@ def test_clean_edges(spark):
 def test_ancestors(spark):
     df = spark.createDataFrame([(1, 2), (2, 3)], "parent int, child int")
     assert {tuple(r) for r in H.ancestor_pairs(H.hierarchy(df)).collect()} == {(1, 2, 1), (1, 3, 2), (2, 3, 1)}
+
+
+def test_levels_are_read_by_one_scan(spark):
+    """Not by one for each level: many tasks that each write a small file at once."""
+    chain = [(i, i + 1) for i in range(9)]
+    for edges in (chain, [*chain, (0, 9)]):
+        tree = H.hierarchy(spark.createDataFrame(edges, "parent int, child int"))
+        optimized = tree._jdf.queryExecution().optimizedPlan().toString()
+        assert optimized.count("Relation") <= 6 and tree.count() == 10
