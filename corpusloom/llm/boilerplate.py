@@ -160,6 +160,8 @@ class Batch:
         order = np.argsort(self.depth, kind="stable")
         cuts = np.searchsorted(self.depth[order], np.arange(int(self.depth.max()) + 2)) if n else np.zeros(1, int)
         self.levels = [order[cuts[i] : cuts[i + 1]] for i in range(len(cuts) - 1)]
+        self.rooted = self.parent < 0
+        self.children = [level[~self.rooted[level]] for level in self.levels]
 
 
 def _score(model: Model, b: Batch, own: np.ndarray) -> np.ndarray:
@@ -170,33 +172,38 @@ def _score(model: Model, b: Batch, own: np.ndarray) -> np.ndarray:
 
 
 def marginals(model: Model, b: Batch, own: np.ndarray, edges: bool = False):
-    """P(main body) of each node by one upward and one downward pass; with `edges`, also the pair marginals of parent and child."""
+    """P(main body) of each node by one upward and one downward pass; with `edges`, also the pair marginals of parent and child.
+
+    The two states have an array each: numpy is slow along an axis of two.
+    """
     n = len(b.kinds)
-    unary = np.zeros((n, 2))
-    unary[:, 1] = _score(model, b, own)
     psi = model.edge[b.kinds, b.parent_kind, b.distance]  # n, parent state, child state
-    rooted = b.parent < 0
-    psi = np.where(rooted[:, None, None], psi[:, :1, :], psi)  # the root has one state
-    up, below = np.zeros((n, 2)), unary.copy()
-    for level in reversed(b.levels):
-        m = psi[level] + below[level][:, None, :]
-        top = m.max(axis=2)
-        up[level] = top + np.log(np.exp(m - top[:, :, None]).sum(axis=2))
-        child = level[~rooted[level]]
-        np.add.at(below, b.parent[child], up[child])
-    belief = np.zeros((n, 2))
+    p00, p01, p10, p11 = (psi[:, i, j] for i in (0, 1) for j in (0, 1))
+    p10, p11 = np.where(b.rooted, p00, p10), np.where(b.rooted, p01, p11)  # the root has one state
+    up0, up1, below0, below1 = np.zeros(n), np.zeros(n), np.zeros(n), _score(model, b, own)
+    for level, child in zip(reversed(b.levels), reversed(b.children)):
+        b0, b1 = below0[level], below1[level]
+        for up, p, q in ((up0, p00, p01), (up1, p10, p11)):
+            x, y = p[level] + b0, q[level] + b1
+            top = np.maximum(x, y)
+            up[level] = top + np.log(np.exp(x - top) + np.exp(y - top))
+        np.add.at(below0, b.parent[child], up0[child])
+        np.add.at(below1, b.parent[child], up1[child])
+    belief0, belief1 = np.zeros(n), np.zeros(n)
     pair = np.zeros((n, 2, 2)) if edges else None
     for level in b.levels:
-        p = b.parent[level]
-        above = np.where(rooted[level][:, None], np.array([0.0, -1e9]), belief[p] - up[level])
-        joint = above[:, :, None] + psi[level] + below[level][:, None, :]
-        joint -= joint.max(axis=(1, 2), keepdims=True)
-        e = np.exp(joint)
-        e /= e.sum(axis=(1, 2), keepdims=True)
+        p, rooted, b0, b1 = b.parent[level], b.rooted[level], below0[level], below1[level]
+        a0, a1 = np.where(rooted, 0.0, belief0[p] - up0[level]), np.where(rooted, -1e9, belief1[p] - up1[level])
+        joint = [a0 + p00[level] + b0, a0 + p01[level] + b1, a1 + p10[level] + b0, a1 + p11[level] + b1]
+        top = np.maximum(np.maximum(joint[0], joint[1]), np.maximum(joint[2], joint[3]))
+        e = [np.exp(j - top) for j in joint]
+        total = e[0] + e[1] + e[2] + e[3]
+        e = [x / total for x in e]
         if edges:
-            pair[level] = e
-        belief[level] = np.log(np.maximum(e.sum(axis=1), 1e-12))
-    main = np.exp(belief[:, 1])
+            pair[level] = np.stack(e, axis=1).reshape(-1, 2, 2)
+        belief0[level] = np.log(np.maximum(e[0] + e[2], 1e-12))
+        belief1[level] = np.log(np.maximum(e[1] + e[3], 1e-12))
+    main = np.exp(belief1)
     return (main, pair) if edges else main
 
 
@@ -273,6 +280,11 @@ def train(contents: list[str], titles: list[str | None], labels: list[np.ndarray
     n = len(y)
     # a label is a potential that no other can outweigh
     known = np.where(y < 0, 0.0, np.where(y > 0, CERTAIN, -CERTAIN))
+    # sums by feature are counts over one flat index each
+    summed = lambda a, at, g: np.bincount(at, weights=g, minlength=a.size).reshape(a.shape)
+    near_at = [x * len(KINDS) + b.kinds for x in b.near]
+    top_at, end_at, titled_at = b.top * len(KINDS) + b.kinds, b.end * len(KINDS) + b.kinds, b.titled * len(KINDS) + b.kinds
+    edge_at = np.ravel_multi_index((b.kinds, b.parent_kind, b.distance), model.edge.shape[:3])
     for t in range(1, epochs + 1):
         rate = 0.15 if 2 * t < epochs else 0.05
         own = np.bincount(owner, weights=model.node[flat], minlength=len(feats))[line_of]
@@ -280,14 +292,10 @@ def train(contents: list[str], titles: list[str | None], labels: list[np.ndarray
         main_known, pair_known = marginals(model, b, own + known, edges=True)
         g = main_known - main
         grads = [np.bincount(flat, weights=np.bincount(line_of, weights=g, minlength=len(feats))[owner], minlength=SPACE)]
-        near = np.zeros_like(model.near)
-        for o in range(len(OFFSETS)):
-            np.add.at(near[o], (b.near[o], b.kinds), g)
-        top, end, tit, edge = (np.zeros_like(a) for a in (model.top, model.end, model.titled, model.edge))
-        np.add.at(top, (b.top, b.kinds), g)
-        np.add.at(end, (b.end, b.kinds), g)
-        np.add.at(tit, (b.titled, b.kinds), g)
-        np.add.at(edge, (b.kinds, b.parent_kind, b.distance), pair_known - pair)
+        near = np.stack([summed(x, at, g) for x, at in zip(model.near, near_at)])
+        top, end, tit = summed(model.top, top_at, g), summed(model.end, end_at, g), summed(model.titled, titled_at, g)
+        change = pair_known - pair
+        edge = np.stack([np.stack([summed(model.edge[..., i, j], edge_at, change[:, i, j]) for j in (0, 1)], axis=-1) for i in (0, 1)], axis=-2)
         for a, (m, v), d in zip(model.arrays(), state, [*grads, near, top, end, tit, edge]):
             d = d - 0.02 * a
             m *= 0.9
@@ -311,6 +319,20 @@ class Scorer:
         self.words = Kept(lambda w: node[_hash("w" + _DIGITS.sub("0", w))], self.KEEP)
         # of features that recur; the others are hashed each time
         self.weights = Kept(lambda x: node[_hash(x)], self.KEEP)
+        # sums for shapes, first words and last words, which recur
+        self.shapes, self.begins, self.ends = Kept(self._shape, self.KEEP), Kept(self._begin, self.KEEP), Kept(self._end, self.KEEP)
+
+    def _shape(self, shape: tuple[int, int, bool]) -> float:
+        k, n, upper = shape
+        return self.weights[f"k{k}"] + self.weights[f"{k}n{n}"] + self.weights["upper" if upper else "mixed"]
+
+    def _begin(self, words: tuple[str, ...]) -> float:
+        first = [self.masks[x] for x in words]
+        return self.weights["f" + first[0]] + self.node[_crc(" ".join(first[:2]), _TWO) % SPACE] + self.node[_crc(" ".join(first), _THREE) % SPACE]
+
+    def _end(self, words: tuple) -> float:
+        k, *last = words
+        return self.node[_crc(" ".join([self.masks[x] for x in last]), _LAST[k]) % SPACE]
 
     def line(self, line: str) -> tuple[float, int]:
         """The sum of the weights of line_features(), and the kind; digits are masked in single words."""
@@ -318,12 +340,10 @@ class Scorer:
         n = len(w)
         k = kind_of(line, n)
         weights, mask = self.weights, self.masks.__getitem__
-        score = weights[f"k{k}"] + weights[f"{k}n{min(n, 13)}"] + weights["upper" if line.isupper() else "mixed"]
+        score = self.shapes[k, min(n, 13), line.isupper()]
         if w:
-            node = self.node
-            first = [mask(x) for x in w[:3]]
-            score += weights["f" + first[0]] + node[_crc(" ".join(first[:2]), _TWO) % SPACE] + node[_crc(" ".join(first), _THREE) % SPACE]
-            score += node[_crc(" ".join([mask(x) for x in w[-2:]]), _LAST[k]) % SPACE] + sum(map(self.words.__getitem__, w))
+            score += self.begins[tuple(w[:3])]
+            score += self.ends[(k, *w[-2:])] + sum(map(self.words.__getitem__, w))
         if n <= 12:
             low = " ".join([mask(x) for x in w])
             score += weights[f"{k}e{low[-1:]}"] + weights[f"{k}b{low[:1]}"] + self.node[_crc(low, _WHOLE) % SPACE]

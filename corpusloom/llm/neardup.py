@@ -67,8 +67,10 @@ class Sketcher:
         h, d = run_hashes(flat, doc, self.run)
         if not len(h):
             return h, d, key
-        # text number and 53 bits of hash in one word, sorted at once
-        both = np.unique((d.astype(np.uint64) << np.uint64(53)) | (h >> np.uint64(11)))
+        # text number and 53 bits of hash in one word, sorted at once; np.unique would hash them before it sorts
+        both = (d.astype(np.uint64) << np.uint64(53)) | (h >> np.uint64(11))
+        both.sort()
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
         return both & _LOW, (both >> np.uint64(53)).astype(np.int64), key
 
     def bands(self, h: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
