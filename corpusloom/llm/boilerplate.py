@@ -20,9 +20,11 @@ table gives an untrained model and no rows; extra columns are ignored; lines and
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -370,11 +372,12 @@ def line_statistics(units: DataFrame, pages: DataFrame) -> tuple[DataFrame, Data
 
     `titles`: the titles under which a line stands; `before`, `after`: how often a sentence is the line before and after it.
     """
-    contents = units.where("field = 'content'").select("id", "title", F.array_sort("units").alias("units"))
-    mine = written(contents.join(pages, "id", "left_semi").select("id", F.transform("units", lambda u: u["h"]).alias("hashes")), "labelled")
-    wanted = broadcast_if_small(mine.select(F.explode("hashes").alias("h")).distinct(), name="wanted")
-    each = contents.select("title", F.explode(F.expr("transform(units, (u, i) -> struct(u.h as h, coalesce(get(units, i - 1).plain, 0) as prev, coalesce(get(units, i + 1).plain, 0) as next))")).alias("u")).select("title", "u.*")
-    per_title = each.join(wanted, "h", "left_semi").groupBy("h", "title").agg(F.count("*").alias("n"), F.sum("prev").alias("prev"), F.sum("next").alias("next"))
+    contents = units.where("field = 'content'")
+    mine = written(contents.join(pages, "id", "left_semi").select("id", "at", "h"), "labelled")
+    wanted = broadcast_if_small(mine.select("h").distinct(), name="wanted")
+    per_title = contents.join(wanted, "h", "left_semi").groupBy("h", "title").agg(F.count("*").alias("n"), F.sum(residue.flag(residue.PREV)).alias("prev"), F.sum(residue.flag(residue.NEXT)).alias("next"))
+    # of repeated rows one counts
+    mine = mine.dropDuplicates(["id", "at"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "h"))).alias("lines")).select("id", F.col("lines.h").alias("hashes"))
     return mine, per_title.groupBy("h").agg(F.count("*").alias("titles"), (F.sum("prev") / F.sum("n")).alias("before"), (F.sum("next") / F.sum("n")).alias("after"))
 
 
@@ -393,7 +396,7 @@ def fit(articles: DataFrame, units: DataFrame | None = None, pages: int = LABEL_
     mine, stats = line_statistics(units, F.broadcast(ids))  # at most `pages` ids
     # as many rows as the sample has lines
     seen = {r.h: (r.titles, r.before, r.after) for r in stats.collect()}
-    hashes = {r.id: r.hashes for r in mine.dropDuplicates(["id"]).collect()}
+    hashes = {r.id: r.hashes for r in mine.collect()}
     least = max(LEAST_TITLES, int(RECURS * total))
     lines = {r.id: r.content.split("\n") for r in sample}
     of = {i: [seen.get(x, (0, 0.0, 0.0)) for x in hashes[i]] for i in lines}
@@ -401,14 +404,27 @@ def fit(articles: DataFrame, units: DataFrame | None = None, pages: int = LABEL_
     return train([r.content for r in sample], [r.title for r in sample], [label_lines(lines[r.id], r.title, of[r.id], least, leads) for r in sample])
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without Python's search for reference cycles, which walks the tables of scores again and again; they have none."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def _in_batches(model: Model, emit: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for whole in batches:
-            for at in range(0, whole.num_rows, PAGES_AT_ONCE):
-                part = whole.slice(at, PAGES_AT_ONCE)
-                contents, titles = part.column("content").to_pylist(), part.column("title").to_pylist()
-                yield emit(part, titles, *scorer.main_body(contents, titles))
+        with _uncollected():
+            for whole in batches:
+                for at in range(0, whole.num_rows, PAGES_AT_ONCE):
+                    part = whole.slice(at, PAGES_AT_ONCE)
+                    contents, titles = part.column("content").to_pylist(), part.column("title").to_pylist()
+                    yield emit(part, titles, *scorer.main_body(contents, titles))
 
     return run
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from corpusloom.llm import residue as R
@@ -77,3 +79,30 @@ def test_wording_of_whole_messages(spark, text):
 @pytest.mark.parametrize("text", ["Heading one goes here", "TBD TBD TBD", "blah blah blah", "Sample paragraph. Sample paragraph. Sample paragraph.", "Untitled page", "xxxxx xxxxx xxx xxxxxx"])
 def test_wording_of_filler(spark, text):
     assert spark.createDataFrame([(text,)], "t string").select(R.wording(R.masked(R.F.col("t"))).alias("w")).first().w == 3
+
+
+def test_units_are_made_without_a_shuffle_and_know_the_lines_beside_them(spark):
+    step, head = "Turn left at the stairs.", "Menu"
+    pages = [[step], [head, step, head], [step, step, head, step, "See {{name}} on the next page.", step], [head], [step] * 7, [step, head]] * 3
+    rows = [(i, "https://h/a", "A title", "\n".join(p)) for i, p in enumerate(pages)]
+    plain = [[int(x == step) for x in p] for p in pages]
+    want = {(i, k): (p[k], p[k - 1] if k else 0, p[k + 1] if k + 1 < len(p) else 0) for i, p in enumerate(plain) for k in range(len(p))}
+    asked = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in (1, 2, 3, 1000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            units = R.text_units(frame(spark, rows).coalesce(2))
+            assert "Exchange" not in units._jdf.queryExecution().executedPlan().toString()
+            got = units.where("field = 'content'").select("id", "at", R.flag(R.PLAIN), R.flag(R.PREV), R.flag(R.NEXT)).collect()
+            assert len(got) == len(want) and {(r[0], r[1]): tuple(r[2:]) for r in got} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", asked)
+    assert units.where(R.flag(R.STRONG) == 1).select("id").distinct().count() == 3
+    assert units.where("field = 'title'").count() == len(rows)
+
+
+def test_every_placeholder_and_marker_begins_with_a_sign():
+    more = ["${owner}", "#{owner}", "<%= owner %>", "<<owner>>", "@@owner@@", "[[ owner ]]", "[insert a name here]", "{$owner}", "{% owner %}", "xx_owner_xx", "&LT;owner&GT;", *RULED[3:5]]
+    for text in [x for x in RULED_TITLES if "dorem" not in x] + more:
+        assert re.search(R.PLACEHOLDER, text) or re.search(R.MARKER, text)
+        assert re.search(R.SIGNS, text), text
