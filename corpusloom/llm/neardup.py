@@ -11,8 +11,8 @@ small components by a join, those of larger ones in blocks of bounded size, so t
 two blocks. Where only the number of similar texts is wanted, pairs that the distances to a common hub prove similar
 (the Jaccard distance is a metric) are counted by a running window and not compared at all.
 
-Texts with the same words are one node, before the buckets and until the very end. Buckets are read batch by batch, so no bucket is
-held in memory; which text is the hub changes no result, as every pair that shares a bucket is settled. Defined cases: a null title counts as empty; null or empty contents take no part; a text of fewer words
+Texts with the same words are one node, before the buckets and until the very end. Buckets are dealt to as many parts as a shuffle has
+partitions and read part by part, 16 bytes for each text of a bucket; which text is the hub changes no result, as every pair that shares a bucket is settled. Defined cases: a null title counts as empty; null or empty contents take no part; a text of fewer words
 than a run has no runs and no pairs; an empty table gives no rows; extra columns are ignored; whole texts are read.
 """
 
@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,28 +142,63 @@ def article_sketches(articles: DataFrame, run: int = 3, model: boilerplate.Model
     return boilerplate.page_map(articles, emitter(), _schema(articles.schema["id"].dataType.simpleString()), model or boilerplate.fit(articles))
 
 
+def _packed(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From (node, bands) to (part, pairs): bucket and node of each band as 16 bytes, those of the same part of the buckets in one value."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = batch.column("bands")
+            sizes = pc.list_value_length(bands).to_numpy()
+            ends = np.cumsum(sizes)
+            if not len(ends) or not ends[-1]:
+                continue
+            band = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+            bucket = (band << 32) + bands.flatten().to_numpy()
+            part = (mix(bucket.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            pairs = np.stack([bucket[order], np.repeat(batch.column("node").to_numpy(), sizes)[order]], axis=1)
+            bounds = np.searchsorted(part[order], np.arange(parts + 1))
+            values = pa.BinaryArray.from_buffers(pa.binary(), parts, [None, pa.py_buffer((16 * bounds).astype(np.int32)), pa.py_buffer(pairs)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), values], names=["part", "pairs"]).filter(pa.array(np.diff(bounds) > 0))
+
+    return go
+
+
+def _hubs(values: list[bytes]) -> pa.RecordBatch:
+    """(bucket, a, b) of the pairs of one part: the least node a of each bucket with every other one."""
+    pairs = np.frombuffer(b"".join(values), np.int64).reshape(-1, 2)
+    order = np.argsort(pairs[:, 0])
+    bucket, node = pairs[order, 0], pairs[order, 1]
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    hub = np.repeat(np.minimum.reduceat(node, starts), np.diff(np.append(starts, len(node))))
+    other = node != hub
+    return pa.RecordBatch.from_arrays([pa.array(bucket[other]), pa.array(hub[other]), pa.array(node[other])], names=["bucket", "a", "b"])
+
+
 def met(sketch: DataFrame) -> DataFrame:
-    """(bucket, a, b): one node a of each bucket, its least unless the bucket spans batches, with every other node of the bucket."""
+    """(bucket, a, b): the least node a of each bucket with every other node of the bucket.
+
+    Buckets are dealt to as many parts as a shuffle has partitions; a task holds 16 bytes of each pair of one part at a time.
+    """
+    ship_package(sketch.sparkSession)
     # copies are one node before they meet any bucket, so a bucket has each node once
-    rows = sketch.select("node", "bands").dropDuplicates(["node"]).select("node", F.posexplode("bands").alias("band", "h"))
-    bucket = (F.shiftleft(F.col("band").cast("long"), 32) + F.col("h")).alias("bucket")
+    rows = sketch.select(F.col("node").cast("long"), "bands").dropDuplicates(["node"])
+    parts = int(sketch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hub = None, 0  # of the bucket read last
-        for part in batches:
-            if not part.num_rows:
-                continue
-            b, node = part.column("bucket").to_numpy(), part.column("node").to_numpy()
-            order = np.lexsort((node, b))
-            b, node = b[order], node[order]
-            begins = np.concatenate([[b[0] != last], b[1:] != b[:-1]])
-            at = np.maximum.accumulate(np.where(begins, np.arange(len(b)), -1))
-            a = np.where(at < 0, hub, node[at])
-            yield pa.RecordBatch.from_arrays([pa.array(b[~begins]), pa.array(a[~begins]), pa.array(node[~begins])], names=["bucket", "a", "b"])
-            last, hub = b[-1], a[-1]
-
-    # one key, so that Spark sorts by radix; a bucket is read batch by batch, none is held in memory
-    return rows.select(bucket, "node").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(go, "bucket bigint, a bigint, b bigint")
+        last, values = None, []
+        for batch in batches:
+            for part, pairs in zip(batch.column("part").to_pylist(), batch.column("pairs").to_pylist()):
+                if values and part != last:
+                    yield _hubs(values)
+                    values = []
+                values.append(pairs)
+                last = part
+        if values:
+            yield _hubs(values)
+
+    packed = rows.mapInArrow(_packed(parts), "part int, pairs binary")
+    return packed.repartition("part").sortWithinPartitions("part").mapInArrow(go, "bucket bigint, a bigint, b bigint")
 
 
 def star_edges(sketch: DataFrame) -> DataFrame:

@@ -69,6 +69,16 @@ def test_copies_meet_buckets_once(spark):
     assert len(got) == 501 and {v for i, v in got.items() if i < 1000} == {(0, 1)} and got[1000] == (0, 1)
 
 
+def test_buckets_are_shuffled_packed(spark):
+    # 90 nodes, each in a bucket of its own and in one that all share; the shuffle has no row for each of them
+    s = sketched(spark, {k: range(k, k + 3) for k in range(90)})
+    met = N.met(s)
+    assert {tuple(r) for r in met.collect()} == {(7, 0, k) for k in range(1, 90)}
+    # rows were shuffled by bucket and sorted in the JVM, one for each node and band
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(part" in plan and "Generate" not in plan
+
+
 def test_recall_on_chains_of_edits(spark):
     """Chains in which neighbours are similar and ends are not: pairs found against brute force, for both uses."""
     rng = random.Random(9)
