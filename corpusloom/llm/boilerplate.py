@@ -216,9 +216,10 @@ def split_pages(contents: list[str], titles: list[str | None]):
     np.cumsum([len(p) for p in pages], out=starts[1:])
     titled = np.zeros(int(starts[-1]), dtype=np.int64)
     for i, (lines, title) in enumerate(zip(pages, titles)):
-        if t := title.strip().lower() if title else "":
-            for k, line in enumerate(lines):
-                if len(t) <= len(line) and t in (low := line.lower()):
+        # the page is lower-cased at once, not line by line
+        if (t := title.strip().lower() if title else "") and t in (whole := contents[i].lower()):
+            for k, low in enumerate(whole.split("\n")):
+                if t in low and len(t) <= len(lines[k]):
                     titled[starts[i] + k] = 2 if low.strip(" •*-") == t else 1
     return pages, starts, titled
 

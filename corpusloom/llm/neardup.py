@@ -11,8 +11,8 @@ small components by a join, those of larger ones in blocks of bounded size, so t
 two blocks. Where only the number of similar texts is wanted, pairs that the distances to a common hub prove similar
 (the Jaccard distance is a metric) are counted by a running window and not compared at all.
 
-Texts with the same words are one node, before the buckets and until the very end. Buckets are dealt to as many parts as a shuffle has
-partitions and read part by part, 16 bytes for each text of a bucket; which text is the hub changes no result, as every pair that shares a bucket is settled. Defined cases: a null title counts as empty; null or empty contents take no part; a text of fewer words
+Texts with the same words are one node, before the buckets and until the very end. Buckets are dealt to parts, four to a
+partition of a shuffle, and read part by part, 16 bytes for each text of a bucket; which text is the hub changes no result, as every pair that shares a bucket is settled. Defined cases: a null title counts as empty; null or empty contents take no part; a text of fewer words
 than a run has no runs and no pairs; an empty table gives no rows; extra columns are ignored; whole texts are read.
 """
 
@@ -77,7 +77,8 @@ class Sketcher:
     def bands(self, h: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
         """Band hashes (n texts x BANDS) of the runs h of texts d."""
         bins = np.full((n, BINS), _FULL, dtype=np.uint32)
-        np.minimum.at(bins, (d, (h % np.uint64(BINS)).astype(np.int64)), np.minimum((h >> np.uint64(21)).astype(np.uint32), _FULL - np.uint32(1)))
+        # one flat index, for which numpy is faster than for two
+        np.minimum.at(bins.reshape(-1), d * BINS + (h % np.uint64(BINS)).astype(np.int64), np.minimum((h >> np.uint64(21)).astype(np.uint32), _FULL - np.uint32(1)))
         own = bins.copy()
         row, bin_ = np.nonzero(bins == _FULL)
         for p in self.probes:
@@ -178,12 +179,13 @@ def _hubs(values: list[bytes]) -> pa.RecordBatch:
 def met(sketch: DataFrame) -> DataFrame:
     """(bucket, a, b): the least node a of each bucket with every other node of the bucket.
 
-    Buckets are dealt to as many parts as a shuffle has partitions; a task holds 16 bytes of each pair of one part at a time.
+    Buckets are dealt to four times as many parts as a shuffle has partitions; a task holds 16 bytes of each pair of one part at a time.
     """
     ship_package(sketch.sparkSession)
     # copies are one node before they meet any bucket, so a bucket has each node once
     rows = sketch.select(F.col("node").cast("long"), "bands").dropDuplicates(["node"])
-    parts = int(sketch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # several to a partition, so that partitions are of about the same size
+    parts = 4 * int(sketch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, values = None, []
